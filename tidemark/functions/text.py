@@ -7,7 +7,7 @@ are spelled out as classes and look-arounds here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE_CHARS = r"\s\x1c-\x1f\x85\p{Z}"
@@ -46,18 +46,25 @@ YEAR_WORDS = ("in", "since", "from", "as of", "until", "before", "after")
 # Words of the English approximation "tokens = words / 0.75".
 WORDS_PER_TOKEN = 0.75
 
-NUMBER = rf"{WORD_START}(\p{{Nd}}+(?:\.\p{{Nd}}+)?){SPACE}*({'|'.join(UNITS)})?{EDGE}"
-PHRASE = rf"{WORD_START}([A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)+){WORD_END}"
-ACRONYM = rf"{WORD_START}([A-Z]{{2,6}}){WORD_END}"
-ISO_DATE = rf"{WORD_START}(20[0-9]{{2}})[/-](0[1-9]|1[0-2])[/-](0[1-9]|[12][0-9]|3[01]){WORD_END}"
+# Each pattern starts with a look-ahead for its possible first letters: cheap to refuse.
+NUMBER = rf"(?=\p{{Nd}}){WORD_START}(\p{{Nd}}+(?:\.\p{{Nd}}+)?){SPACE}*({'|'.join(UNITS)})?{EDGE}"
+PHRASE = rf"(?=[A-Z]){WORD_START}([A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)+){WORD_END}"
+ACRONYM = rf"(?=[A-Z]){WORD_START}([A-Z]{{2,6}}){WORD_END}"
+ISO_DATE = (
+    rf"(?=2){WORD_START}(20[0-9]{{2}})[/-](0[1-9]|1[0-2])[/-](0[1-9]|[12][0-9]|3[01]){WORD_END}"
+)
 MONTH_FIRST = (
-    rf"(?iu){WORD_START}({'|'.join(MONTHS)}){SPACE}+([0-9]{{1,2}}),?{SPACE}+(20[0-9]{{2}}){WORD_END}"
+    rf"(?iu)(?=[jfmasond]){WORD_START}({'|'.join(MONTHS)}){SPACE}+([0-9]{{1,2}}),?{SPACE}+"
+    rf"(20[0-9]{{2}}){WORD_END}"
 )
 DAY_FIRST = (
-    rf"(?iu){WORD_START}([0-9]{{1,2}}){SPACE}+({'|'.join(m[:3] for m in MONTHS)}){WORD}*"
+    rf"(?iu)(?=[0-9]){WORD_START}([0-9]{{1,2}}){SPACE}+({'|'.join(m[:3] for m in MONTHS)}){WORD}*"
     rf"{SPACE}+(20[0-9]{{2}}){WORD_END}"
 )
-YEAR_ONLY = rf"(?iu){WORD_START}(?:{'|'.join(YEAR_WORDS)}){SPACE}+(20[0-9]{{2}}){WORD_END}"
+YEAR_ONLY = (
+    rf"(?iu)(?=[isfaub]){WORD_START}(?:{'|'.join(YEAR_WORDS)}){SPACE}+(20[0-9]{{2}}){WORD_END}"
+)
+ANY_NEGATION = rf"(?iu)(?=[ndiwcsf]){WORD_START}(?:{'|'.join(NEGATIONS)}){WORD_END}"
 _MONTH_KEYS = "".join(m[:3].lower() for m in MONTHS)
 
 
@@ -67,7 +74,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(_col(c), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_extract(_col(c), rf"(?s)\A{SPACE}*+(.*{NOT_SPACE})?", 1)
 
 
 def is_blank(c: Column | str) -> Column:
@@ -84,7 +91,7 @@ def token_count(c: Column | str) -> Column:
 
 def has_negation(c: Column | str) -> Column:
     """One scan of the text, all phrases in one alternation."""
-    return F.rlike(_col(c), F.lit(f"(?iu){WORD_START}(?:{'|'.join(NEGATIONS)}){WORD_END}"))
+    return F.rlike(_col(c), F.lit(ANY_NEGATION))
 
 
 def negation_count(c: Column | str) -> Column:
@@ -164,3 +171,31 @@ def document_id(source: Column | str, index: Column | str) -> Column:
 def normalized_hash(c: Column | str) -> Column:
     """Equal for texts that agree after trimming and lower-casing."""
     return F.sha2(F.lower(strip(c)), 256)
+
+
+# What the checks need to know about a text, by column name.
+FACTS = {
+    "length": lambda c: F.length(c),
+    "blank": is_blank,
+    "words": word_count,
+    "text_key": normalized_hash,
+    "negated": has_negation,
+    "numbers": number_mentions,
+    "entities": entity_mentions,
+    "latest_date": lambda c: F.array_max(date_mentions(c)),
+}
+
+
+def document_facts(docs: DataFrame) -> DataFrame:
+    """(doc_id, pos, facts...): everything the checks ask of the texts, from one scan of them.
+
+    Operators take this in place of the documents, so that a run over a large corpus reads the
+    texts once and all families work on the thin result.
+    """
+    body = F.col("content")
+    return docs.select("doc_id", "pos", *[make(body).alias(name) for name, make in FACTS.items()])
+
+
+def fact(docs: DataFrame, name: str) -> Column:
+    """A fact column where ``docs`` has it already, else the expression on its content."""
+    return F.col(name) if name in docs.columns else FACTS[name](F.col("content"))

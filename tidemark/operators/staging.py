@@ -3,25 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A key with more rows than this is joined map-side; at most total/HOT_ROWS keys can be hot.
 HOT_ROWS = 200_000
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names for checkpoints; a temporary one where none is set."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and go on from there.
+    """Write ``df`` as a table in the shared checkpoint folder and go on from there.
 
-    Used where several passes read a result that is expensive to work out again.
+    Used where several passes read a result that is expensive to work out again. As a Parquet
+    table it is read column by column, and its size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-"))
-    return df.checkpoint(eager=True)
+    path = f"{scratch_folder(df.sparkSession).rstrip('/')}/tidemark/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_rows(*frames: DataFrame) -> DataFrame:
