@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import text
+from tidemark.functions.encoders import model_encoder, term_vector
+
+
+def values(spark, texts, expression):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r["v"] for r in rows.select("i", expression(F.col("t")).alias("v")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize(
+    ("sentence", "count"),
+    [
+        ("It is NOT so", 2),  # "not" and "is not"
+        ("knots and cannotation", 0),
+        ("It isn't, it can't, it won't", 3),
+        ("He no longer works; the API was deprecated", 2),
+        ("été nothing", 0),
+        ("énot", 0),  # a letter of any alphabet continues the word
+        ("", 0),
+    ],
+)
+def test_negations(spark, sentence, count):
+    assert values(spark, [sentence], text.negation_count) == [count]
+    assert values(spark, [sentence], text.has_negation) == [count > 0]
+
+
+def test_number_mentions(spark):
+    texts = [
+        "4% of 20,000 items",
+        "about 5 apples and 5 apples",
+        "1.5 million or 3 percent",
+        "version2 and 2nd",
+        "no digits",
+    ]
+    assert values(spark, texts, text.number_mentions) == [
+        ["000", "20", "4"],
+        ["5"],
+        ["1.5 million", "3 percent"],
+        [],
+        [],
+    ]
+
+
+def test_entity_mentions(spark):
+    found = values(
+        spark,
+        ["Guido van Rossum met Ada Lovelace at NASA", "The Paris\nAgreement and GDPR GDPR", "ABCDEFG Abc"],
+        lambda c: F.array_sort(text.entity_mentions(c)),
+    )
+    assert found == [["Ada Lovelace", "NASA"], ["GDPR", "The Paris\nAgreement"], []]
+
+
+def test_date_mentions(spark):
+    found = values(
+        spark,
+        [
+            "2023-01-15 or 2023/02/03, not 2023-13-01",
+            "January 1, 2020 and February 30, 2021",
+            "5 Sept 2021 and 31 may 2022",
+            "since 2019, in the 2017 paper",
+            "since 2023-01-15",
+            "nothing",
+        ],
+        lambda c: F.array_sort(text.date_mentions(c)),
+    )
+    day = dt.date
+    assert found == [
+        [day(2023, 1, 15), day(2023, 2, 3)],
+        [day(2020, 1, 1)],
+        [day(2021, 9, 5), day(2022, 5, 31)],
+        [day(2019, 7, 1)],
+        [day(2023, 1, 15), day(2023, 7, 1)],
+        [],
+    ]
+
+
+def test_white_space_of_all_kinds(spark):
+    texts = ["  a b　c  ", "", " \t \n", "x"]
+    assert values(spark, texts, text.strip) == ["a b　c", "", "", "x"]
+    assert values(spark, texts, text.word_count) == [3, 0, 0, 1]
+    assert values(spark, texts, text.is_blank) == [False, True, True, False]
+    assert values(spark, ["one two three"], text.token_count) == [pytest.approx(4.0)]
+
+
+def test_document_id(spark):
+    ids = values(spark, ["/data/a.csv"], lambda c: text.document_id(c, F.lit(7)))
+    assert ids == [hashlib.sha256(b"/data/a.csv::7").hexdigest()[:16]]
+
+
+def test_term_vector(spark):
+    [vector, nothing] = values(spark, ["b a A c a", " "], lambda c: term_vector(c, 16))
+    counts = [0.0] * 16
+    for term in "baaca":
+        counts[int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % 16] += 1
+    length = sum(c * c for c in counts) ** 0.5
+    assert vector == pytest.approx([c / length for c in counts], abs=1e-6)
+    assert nothing == [0.0] * 16
+
+
+def test_model_encoder_loads_once_per_worker(spark):
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), 1.0] for t in texts])
+
+    rows = spark.createDataFrame([("a", "xx"), ("b", "yyyy")], "doc_id string, content string")
+    got = {r.doc_id: r.embedding for r in model_encoder(load, batch=1)(rows).collect()}
+    assert got == {"a": [2.0, 1.0], "b": [4.0, 1.0]}

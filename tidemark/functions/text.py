@@ -7,7 +7,7 @@ are spelled out as classes and look-arounds here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE_CHARS = r"\s\x1c-\x1f\x85\p{Z}"
@@ -48,8 +48,11 @@ WORDS_PER_TOKEN = 0.75
 
 # Each pattern starts with a look-ahead for its possible first letters: cheap to refuse.
 NUMBER = rf"(?=\p{{Nd}}){WORD_START}(\p{{Nd}}+(?:\.\p{{Nd}}+)?){SPACE}*({'|'.join(UNITS)})?{EDGE}"
-PHRASE = rf"(?=[A-Z]){WORD_START}([A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)+){WORD_END}"
-ACRONYM = rf"(?=[A-Z]){WORD_START}([A-Z]{{2,6}}){WORD_END}"
+# A phrase and an acronym never share a word, so one scan finds both.
+ENTITY = (
+    rf"(?=[A-Z]){WORD_START}(?:[A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)+|[A-Z]{{2,6}}){WORD_END}"
+)
+ANY_YEAR = "20[0-9]{2}"
 ISO_DATE = (
     rf"(?=2){WORD_START}(20[0-9]{{2}})[/-](0[1-9]|1[0-2])[/-](0[1-9]|[12][0-9]|3[01]){WORD_END}"
 )
@@ -110,10 +113,7 @@ def number_mentions(c: Column | str) -> Column:
 
 def entity_mentions(c: Column | str) -> Column:
     """Distinct capitalized phrases of two or more words, and acronyms of 2-6 letters."""
-    return F.array_union(
-        F.regexp_extract_all(_col(c), F.lit(PHRASE), F.lit(1)),
-        F.regexp_extract_all(_col(c), F.lit(ACRONYM), F.lit(1)),
-    )
+    return F.array_distinct(F.regexp_extract_all(_col(c), F.lit(ENTITY), F.lit(0)))
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:
@@ -159,7 +159,10 @@ def date_mentions(c: Column | str) -> Column:
         F.regexp_extract_all(text, F.lit(YEAR_ONLY), F.lit(1)),
         lambda y: _day(y, F.lit("7"), F.lit("1")),
     )
-    return F.filter(F.concat(iso, month_first, day_first, years), lambda d: d.isNotNull())
+    dates = F.filter(F.concat(iso, month_first, day_first, years), lambda d: d.isNotNull())
+    # every form contains a year; most texts are done after this one scan
+    has_year = F.rlike(text, F.lit(ANY_YEAR))
+    return F.when(has_year, dates).otherwise(F.array().cast("array<date>"))
 
 
 def document_id(source: Column | str, index: Column | str) -> Column:
@@ -171,31 +174,3 @@ def document_id(source: Column | str, index: Column | str) -> Column:
 def normalized_hash(c: Column | str) -> Column:
     """Equal for texts that agree after trimming and lower-casing."""
     return F.sha2(F.lower(strip(c)), 256)
-
-
-# What the checks need to know about a text, by column name.
-FACTS = {
-    "length": lambda c: F.length(c),
-    "blank": is_blank,
-    "words": word_count,
-    "text_key": normalized_hash,
-    "negated": has_negation,
-    "numbers": number_mentions,
-    "entities": entity_mentions,
-    "latest_date": lambda c: F.array_max(date_mentions(c)),
-}
-
-
-def document_facts(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, facts...): everything the checks ask of the texts, from one scan of them.
-
-    Operators take this in place of the documents, so that a run over a large corpus reads the
-    texts once and all families work on the thin result.
-    """
-    body = F.col("content")
-    return docs.select("doc_id", "pos", *[make(body).alias(name) for name, make in FACTS.items()])
-
-
-def fact(docs: DataFrame, name: str) -> Column:
-    """A fact column where ``docs`` has it already, else the expression on its content."""
-    return F.col(name) if name in docs.columns else FACTS[name](F.col("content"))

@@ -33,6 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A frame read straight from storage, over at least as many tasks as there are cores.
+
+    For work that is heavy per row on input of few splits (one large row group, whole-file
+    records). Input of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def merge_rows(*frames: DataFrame) -> DataFrame:
     """Put one-row frames with different columns side by side.
 

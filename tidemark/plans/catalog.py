@@ -19,6 +19,7 @@ from tidemark.functions import text, vectors
 from tidemark.functions.encoders import hashed_terms, term_vector
 from tidemark.operators import alerts, drift, quality, rag, risks
 from tidemark.operators.similarity import knn_join, similarity_join
+from tidemark.operators.staging import cut, spread
 from tidemark.params import DriftParams, Params, QualityParams, RagParams, RiskParams
 from tidemark.plans import history, report
 from tidemark.plans.run import Findings, findings_by_family, measure
@@ -44,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, content: str = "text") -> DataFrame:
     """The documents table in the form the operators take."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.expr(content).alias("content"),
         F.col("doc_id").alias("pos"),
@@ -439,7 +440,9 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = _encoded(spark, sf_dir).select("doc_id", F.posexplode("embedding").alias("dim", "w"))
+    entries = _encoded(spark, sf_dir).select(
+        "doc_id", F.posexplode_outer("embedding").alias("dim", "w")
+    )
     return entries.where("w > 0").select(
         "doc_id",
         F.col("dim").cast("bigint").alias("dim"),
@@ -625,7 +628,7 @@ def risks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         severity="CASE WHEN value > 60 THEN 'CRITICAL' WHEN value > 20 THEN 'WARNING' "
         "WHEN value > 5 THEN 'INFO' ELSE 'DEBUG' END",
         description="concat('user ', user_id)",
-        confidence="round(least(value / 100, 1.0D), 3)",
+        confidence="least(value / 100, 1.0D)",
         part="0",
     ).withColumnRenamed("at", "detected_at")
 
@@ -686,7 +689,7 @@ def drift_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = history.risk_history(risks_table(spark, sf_dir), AS_OF, days=7)
-    return found.select("event_id", "risk_type", "severity", "confidence")
+    return found.select("event_id", "risk_type", "severity", F.round("confidence", 4).alias("confidence"))
 
 
 @query
@@ -807,9 +810,11 @@ def corpus_findings(spark: SparkSession, sf_dir: str) -> Findings:
     docs = documents(spark, sf_dir, NEGATED).select("doc_id", "content", "pos")
     vecs = hashed_terms(WIDTH)(docs.select("doc_id", "content"))
     asked = _asked(spark, sf_dir)
-    older = table(spark, sf_dir, "conversations").select(
-        F.concat_ws("-", "conv_id", "turn").alias("doc_id"),
-        term_vector("text", WIDTH).alias("embedding"),
+    older = cut(
+        spread(table(spark, sf_dir, "conversations")).select(
+            F.concat_ws("-", "conv_id", "turn").alias("doc_id"),
+            term_vector("text", WIDTH).alias("embedding"),
+        )
     )
     return measure(
         docs,

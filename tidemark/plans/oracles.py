@@ -502,7 +502,7 @@ ORACLES["drift_history"] = f"""
 SELECT event_id, {_RUN} AS run_id, value AS statistic, {_AT} AS measured_at FROM events
 WHERE event_type = 'view' AND user_id % 3 = 0 AND ts >= {_END} - INTERVAL 10 DAY"""
 ORACLES["risk_history"] = f"""
-SELECT event_id, {_RISK} AS risk_type, {_SEVERITY} AS severity, round(least(value / 100, 1.0), 3) AS confidence
+SELECT event_id, {_RISK} AS risk_type, {_SEVERITY} AS severity, round(least(value / 100, 1.0), 4) AS confidence
 FROM events WHERE event_type = 'error' AND ts >= {_END} - INTERVAL 7 DAY"""
 ORACLES["check_history"] = f"""
 SELECT event_id, {_CHECK} AS check_name, value < 40 AS passed, value AS metric_value
