@@ -98,11 +98,11 @@ def has_negation(c: Column | str) -> Column:
 
 
 def negation_count(c: Column | str) -> Column:
-    """How many of the phrases occur at least once."""
+    """How many of the phrases occur at least once; the single scan settles most texts."""
     hits = [
         F.rlike(_col(c), F.lit(f"(?iu){WORD_START}{p}{WORD_END}")).cast("int") for p in NEGATIONS
     ]
-    return sum(hits[1:], hits[0])
+    return F.when(has_negation(c), sum(hits[1:], hits[0])).otherwise(F.lit(0))
 
 
 def number_mentions(c: Column | str) -> Column:
