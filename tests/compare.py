@@ -86,7 +86,7 @@ def main() -> None:
                 print(f"ROWS {name} {mine.num_rows} {took:.2f}s", flush=True)
                 continue
             start = time.time()
-            theirs = con.sql(sql[name]).fetch_arrow_table()
+            theirs = con.sql(sql[name]).to_arrow_table()
             problem = difference(mine, theirs)
             verdict = f"DIFF {problem[:600]}" if problem else "OK"
             print(

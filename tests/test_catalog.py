@@ -26,7 +26,7 @@ def test_every_query_with_sql_has_a_counterpart():
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, database, name):
     mine = queries()[name](spark, FOLDER).toArrow()
-    theirs = database.sql(oracle_sql()[name]).fetch_arrow_table()
+    theirs = database.sql(oracle_sql()[name]).to_arrow_table()
     assert difference(mine, theirs) is None
 
 

@@ -797,8 +797,8 @@ def metric_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         "series",
         "label",
         "run_id",
-        F.round("value", 4).alias("value"),
-        F.round("change", 4).alias("change"),
+        F.round("value", 9).alias("value"),
+        F.round("change", 9).alias("change"),
     )
 
 

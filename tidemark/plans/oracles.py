@@ -266,8 +266,8 @@ SELECT CASE WHEN mean_distance > 0.8 THEN 'CRITICAL' ELSE 'WARNING' END AS sever
   round(least(mean_distance / 1.5, 1.0), 3) AS confidence FROM s WHERE mean_distance > 0.5"""
 
 
-def _neighbors(radius: float) -> str:
-    return f"""{_VECTORS},
+def _neighbors(radius: float, among: str = "embeddings") -> str:
+    return f"""v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM {among}),
 q AS (SELECT a.vec_id AS i, 1 - list_cosine_similarity(a.e, b.e) AS dist
   FROM v a JOIN v b ON a.vec_id <> b.vec_id),
 n AS (SELECT v.vec_id AS i, count(dist) AS neighbors,
@@ -278,28 +278,34 @@ n AS (SELECT v.vec_id AS i, count(dist) AS neighbors,
 ORACLES["neighbor_counts"] = f"""WITH {_neighbors(0.75)}
 SELECT i::VARCHAR AS doc_id, neighbors, round(mean_distance, 5) AS mean_distance FROM n"""
 
-ORACLES["sparse_context"] = f"""WITH {_neighbors(0.75)},
-k AS (SELECT n.* FROM n JOIN documents ON doc_id = i),
-s AS (SELECT * FROM k WHERE neighbors < 8)
-SELECT 'sparse_context' AS risk_type,
-  CASE WHEN neighbors = 0 THEN 'CRITICAL' WHEN neighbors < 4 THEN 'WARNING' ELSE 'INFO' END AS severity,
-  i::VARCHAR AS doc_ids,
-  'Document is in a sparse region of the knowledge space. Only ' || neighbors
-  || ' neighbors within radius 0.75 (minimum: 8). Mean neighbor distance: ' || printf('%.3f', mean_distance)
-  || '. LLM may lack sufficient context for accurate responses.' AS description,
-  CASE WHEN neighbors = 0 THEN 0.95::DOUBLE WHEN neighbors < 4 THEN 0.7::DOUBLE ELSE 0.5::DOUBLE END AS confidence
-FROM s WHERE (SELECT count(*) FROM s) <= (SELECT count(*) // 2 FROM k)"""
-
-ORACLES["sparse_corpus_summary"] = f"""WITH {_neighbors(0.4)},
-k AS (SELECT n.* FROM n JOIN documents ON doc_id = i),
-s AS (SELECT * FROM k WHERE neighbors < 2),
-c AS (SELECT count(*) AS f, (SELECT count(*) FROM k) AS t,
-  string_agg(i::VARCHAR, ',' ORDER BY i) AS ids FROM s)
-SELECT 'WARNING' AS severity, md5(ids) AS doc_ids_md5,
-  f || '/' || t || ' documents (' || round_even(f * 100 / t, 0)::INT
-  || '%) have fewer than 2 neighbors within radius 0.4. The corpus is too small or too topically diverse'
-  || ' for reliable RAG coverage. Add more documents to dense topic areas.' AS description,
-  0.8::DOUBLE AS confidence FROM c WHERE f > t // 2"""
+_ALIGNED = "embeddings JOIN documents ON doc_id = vec_id"
+
+
+def _sparse(radius: float, least: int) -> str:
+    """Findings ``f`` of both kinds: one per document, or one for a mostly sparse corpus."""
+    return f"""WITH {_neighbors(radius, _ALIGNED)},
+s AS (SELECT * FROM n WHERE neighbors < {least}),
+c AS (SELECT count(*) AS found, (SELECT count(*) FROM n) AS total,
+  string_agg(i::VARCHAR, ',' ORDER BY i) AS ids FROM s),
+f AS (
+  SELECT CASE WHEN neighbors = 0 THEN 'CRITICAL' WHEN neighbors < {least // 2} THEN 'WARNING' ELSE 'INFO' END AS severity,
+    i::VARCHAR AS doc_ids,
+    'Document is in a sparse region of the knowledge space. Only ' || neighbors
+    || ' neighbors within radius {radius} (minimum: {least}). Mean neighbor distance: ' || printf('%.3f', mean_distance)
+    || '. LLM may lack sufficient context for accurate responses.' AS description,
+    CASE WHEN neighbors = 0 THEN 0.95::DOUBLE WHEN neighbors < {least // 2} THEN 0.7::DOUBLE ELSE 0.5::DOUBLE END AS confidence
+  FROM s, c WHERE found <= total // 2
+  UNION ALL
+  SELECT 'WARNING', ids, found || '/' || total || ' documents (' || round_even(found * 100 / total, 0)::INT
+    || '%) have fewer than {least} neighbors within radius {radius}. The corpus is too small or too topically diverse'
+    || ' for reliable RAG coverage. Add more documents to dense topic areas.', 0.8::DOUBLE
+  FROM c WHERE found > total // 2)"""
+
+
+ORACLES["sparse_context"] = f"""{_sparse(0.75, 8)}
+SELECT 'sparse_context' AS risk_type, severity, doc_ids, description, confidence FROM f"""
+ORACLES["sparse_corpus_summary"] = f"""{_sparse(0.4, 2)}
+SELECT severity, md5(doc_ids) AS doc_ids_md5, description, confidence FROM f"""
 
 # -- drift -----------------------------------------------------------------------------------
 
@@ -574,5 +580,5 @@ ORACLES["metric_series"] = f"""
 WITH d AS (SELECT {_RUN} AS run_id, {_METRIC} AS series, avg(value / 100) AS value, max(ts) AS t
   FROM events WHERE event_type = 'purchase' GROUP BY ALL)
 SELECT series, CASE series WHEN 'chunk_coherence' THEN 'Chunk Coherence' ELSE 'Retrieval Relevance' END AS label,
-  run_id, round(value, 4) AS value,
-  round(value - lag(value) OVER (PARTITION BY series ORDER BY t, run_id), 4) AS change FROM d"""
+  run_id, round(value, 9) AS value,
+  round(value - lag(value) OVER (PARTITION BY series ORDER BY t, run_id), 9) AS change FROM d"""
