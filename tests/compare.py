@@ -30,7 +30,7 @@ def cell(value):
     if isinstance(value, bool):
         return (1, str(value))
     if isinstance(value, float):
-        return (2, "nan" if math.isnan(value) else f"{value:.9g}")
+        return (2, "nan" if math.isnan(value) else repr(value))
     if isinstance(value, int):
         return (3, str(value))
     return (4, str(value))
@@ -44,8 +44,25 @@ def canonical(table):
     return names, rows
 
 
+def kind(field) -> str:
+    import pyarrow.types as t
+
+    for name, test in (
+        ("bool", t.is_boolean), ("int", t.is_integer), ("float", t.is_floating),
+        ("text", lambda x: t.is_string(x) or t.is_large_string(x)),
+    ):
+        if test(field.type):
+            return name
+    return str(field.type)
+
+
 def difference(spark_table, sql_table) -> str | None:
-    """None when equal; otherwise the first thing that differs."""
+    """None when equal in names, kinds and values; otherwise the first thing that differs."""
+    for field in spark_table.schema:
+        if field.name in sql_table.column_names:
+            other = sql_table.schema.field(field.name)
+            if kind(field) != kind(other):
+                return f"{field.name}: {field.type} / {other.type}"
     names, rows = canonical(spark_table)
     other_names, other_rows = canonical(sql_table)
     if names != other_names:

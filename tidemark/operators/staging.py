@@ -9,8 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key with more rows than this is joined map-side; at most total/HOT_ROWS keys can be hot.
+# A key is hot with more than HOT_ROWS rows and more than 1/MAX_HOT_KEYS of all rows, so there
+# are never more than MAX_HOT_KEYS of them.
 HOT_ROWS = 200_000
+MAX_HOT_KEYS = 10_000
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -55,6 +57,16 @@ def merge_rows(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
 
 
+def _hot_limit(counted: DataFrame, count_col: str, hot_rows: int) -> Column:
+    share = counted.agg(F.sum(count_col).alias("rows")).scalar() / F.lit(MAX_HOT_KEYS)
+    return F.greatest(F.lit(float(hot_rows)), F.coalesce(share, F.lit(0.0)))
+
+
+def most_counted(counted: DataFrame, count_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys: never more than MAX_HOT_KEYS rows, whatever the size of the data."""
+    return counted.where(F.col(count_col) > _hot_limit(counted, count_col, hot_rows))
+
+
 def join_counted(
     big: DataFrame,
     counted: DataFrame,
@@ -64,13 +76,13 @@ def join_counted(
 ) -> DataFrame:
     """Inner join of ``big`` with one row per key, where a key may hold much of ``big``.
 
-    ``counted`` tells how many rows of ``big`` each key has. Keys above ``hot_rows`` are few
-    (at most rows(big) / hot_rows), so that side is broadcast and their rows never move;
-    all other keys take the ordinary shuffle join.
+    ``counted`` tells how many rows of ``big`` each key has. Hot keys are at most MAX_HOT_KEYS,
+    so that side is broadcast and their rows never move; all other keys take the ordinary
+    shuffle join.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    hot = counted.where(F.col(count_col) > hot_rows)
-    cold = counted.where(F.col(count_col) <= hot_rows)
+    hot = most_counted(counted, count_col, hot_rows)
+    cold = counted.where(F.col(count_col) <= _hot_limit(counted, count_col, hot_rows))
     hot_part = big.join(F.broadcast(hot), keys)
     cold_part = big.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
     return hot_part.unionByName(cold_part)
