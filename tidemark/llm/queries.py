@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontaminate,
     language_id,
+    license_scan,
     line_dedup,
     ngram_join,
     sentencepiece_codec,
     simhash,
     token_counts,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,11 +49,24 @@ def op3_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.op3(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op4(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op6(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op6_warc"] = warc.ORACLE
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op8(table(spark, sf_dir, "documents"))
