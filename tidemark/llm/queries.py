@@ -14,6 +14,7 @@ from tidemark.llm import (
     ngram_join,
     sentencepiece_codec,
     simhash,
+    suffix_dedup,
     token_counts,
     warc,
 )
@@ -67,6 +68,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_warc"] = warc.ORACLE
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op8(table(spark, sf_dir, "documents"))
