@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -190,8 +191,14 @@ class Index:
         return best
 
 
-def _blocks(items: DataFrame, recall: float, edits: float) -> Iterator[Index]:
-    """Indexes over the items, each of a bounded number of bytes."""
+@lru_cache(maxsize=1)
+def index_of(items: tuple[tuple[int, str], ...], recall: float, edits: float) -> Index:
+    """The index of a block, built once in each Python worker; only the items are sent."""
+    return Index(list(items), recall, edits)
+
+
+def _blocks(items: DataFrame) -> Iterator[tuple[tuple[int, str], ...]]:
+    """The items in blocks of a bounded number of bytes."""
     rows = items.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
     )
@@ -199,9 +206,7 @@ def _blocks(items: DataFrame, recall: float, edits: float) -> Iterator[Index]:
     n = size // BLOCK_BYTES + 1
     for block in range(n):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).orderBy("item_id", "text")
-        index = Index([(r["item_id"], r["text"]) for r in own.toLocalIterator()], recall, edits)
-        if index.classes:
-            yield index
+        yield tuple((r["item_id"], r["text"]) for r in own.toLocalIterator())
 
 
 def matches(
@@ -211,11 +216,11 @@ def matches(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     schema = "doc_id bigint, item_id bigint, edits bigint, item_length bigint"
     found = None
-    for index in _blocks(items, recall, edits):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+    for block in _blocks(items):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def work(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            own = held.value
+            own = index_of(held.value, recall, edits)
             for whole in batches:
                 for batch in split_batch(whole, "text", 4 << 20):
                     best = own.finds(*folded(batch.column(1)))
@@ -237,14 +242,15 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds none of the items, all columns unchanged."""
     names, kept = docs.columns, docs
-    for index in _blocks(items, recall, edits):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+    for block in _blocks(items):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            own = index_of(held.value, recall, edits)
             for whole in batches:
                 for batch in split_batch(whole, "__text", 4 << 20):
                     keep = np.ones(batch.num_rows, dtype=bool)
-                    for n, _ in held.value.finds(*folded(batch.column(len(names)))):
+                    for n, _ in own.finds(*folded(batch.column(len(names)))):
                         keep[n] = False
                     yield batch.select(list(range(len(names)))).filter(pa.array(keep))
 

@@ -2,16 +2,17 @@
 
 A text's set are the hashes of its distinct runs of ``n`` words. Equal sets are folded into one
 class first, wherever they are. The classes are joined by prefix filtering: n-grams are ordered
-rarest first, and two sets that reach the threshold share one within their first few. On that join
+rarest first, and two sets that reach the threshold share some within their first few. On that join
 work the filter on lengths, the positional filter, and the suffix filter (counts of the remaining
 n-grams in ranges of their hashes bound the overlap). What is left is verified exactly, once per
 pair.
 
-The result is the components, so links inside a component already known need no proof. Round one
-compares every set with one partner per shared n-gram, the smallest set that has it; this is linear
-in a group of near copies. Round two compares all pairs that share a prefix n-gram and are still in
-different components. Every link between different components of round one is found by round two,
-so the components are those of all links.
+The result is the components, so links inside a component already known need no proof. Prefixes are
+longer than needed to share one n-gram, so that a pair has to share several. Round one compares
+every set with one partner per shared n-gram, the next smaller set that has it; the next rounds
+compare the sets of an n-gram that are in other components than its first one with that one. Both
+are linear in a group of near copies. The last round compares all pairs that share enough prefix
+n-grams and are still in different components, so the components are those of all links.
 
 Which n-grams are frequent is an ordering hint only: a list of bounded length is broadcast, and any
 list gives the same result. Hashes have 64 bits within a pair; classes are told apart by 128 bits.
@@ -37,7 +38,10 @@ from tidemark.llm.shared import PrefixHash, cut, map_batches, mix, text_or_empty
 WORDS, PERCENT = 5, 80
 #: An n-gram is counted as frequent where this many texts of a task have it; the longest list kept.
 FREQUENT, MAX_FREQUENT = 4, 1 << 18
-RANGES = 16
+#: Ranges of hashes for the suffix filter, and the share of n-grams that a prefix is longer by.
+RANGES, LONGER = 256, 50
+#: Rounds of comparing with the first set of an n-gram before all open pairs are compared.
+STARS = 3
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, *range(0x09, 0x0E)]] = 1
@@ -98,7 +102,12 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
 
 
 def prefix_length(size: int, percent: int) -> int:
-    return size - -(-size * percent // 100) + 1
+    """So many that two sets at the threshold share ``1 + size // LONGER`` of them."""
+    return min(size, size - -(-size * percent // 100) + 1 + size // LONGER)
+
+
+def least_shared(size: Column) -> Column:
+    return F.floor(size / F.lit(LONGER)) + 1
 
 
 def members_of(rows: DataFrame, words: int, seed: int) -> DataFrame:
@@ -179,77 +188,90 @@ def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held) -> Data
     return rows.mapInArrow(run, "gram bigint, node bigint, size int, pos int")
 
 
-def sets_of(rows: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
-    """node, grams (binary), ranges (counts of hashes in equal ranges) of the wanted classes."""
+def texts_of(rows: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
+    """node, text, ranges (counts of the set's hashes in equal ranges) of the wanted classes. Texts
+    take half the room of their sets, so texts move and sets are made where they are needed."""
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [_keys(s, seed)[1] for s in shingle_sets(batch.column(1), words)]
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column(1)], names=["node", "text"])
-
-    def expand(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(1), words)
         ranges = [
-            np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES).astype(np.int32) for s in sets
+            np.minimum(0xFFFF, np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES)).astype(np.uint16).tobytes()
+            for s in sets
         ]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
-             pa.array([r.tolist() for r in ranges], pa.list_(pa.int32()))],
-            names=["node", "grams", "ranges"],
+            [pa.array([_keys(s, seed)[1] for s in sets], pa.int64()), batch.column(1),
+             pa.array(ranges, pa.binary())],
+            names=["node", "text", "ranges"],
         )
 
-    texts = map_batches(rows, name, "node bigint, text string")
-    wanted = texts.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    return map_batches(wanted.select("node", "text"), expand, "node bigint, grams binary, ranges array<int>")
+    texts = map_batches(rows, name, "node bigint, text string, ranges binary")
+    return texts.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that reach the threshold. The suffix filter comes first, on the
-    small counts; only pairs that it leaves fetch their sets."""
-    small = sets.select("node", "ranges")
-    left, right = (small.toDF(x, f"ranges_{x}") for x in "ab")
-    bound = F.aggregate(
-        F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x
-    )
-    size = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
-    likely = (
-        pairs.join(left, "a").join(right, "b")
-        .where(bound >= least_overlap(size("ranges_a"), size("ranges_b"), percent))
-        .select("a", "b")
-    )
-    whole = sets.select("node", "grams")
-    both = likely.join(whole.toDF("b", "grams_b"), "b").join(whole.toDF("a", "grams_a"), "a")
+    small counts; only pairs that it leaves fetch their texts."""
+    small = texts.select("node", "ranges")
+    counted = pairs.join(small.toDF("a", "ranges_a"), "a").join(small.toDF("b", "ranges_b"), "b")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            x, y = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, RANGES) for i in (2, 3)
+            )
+            # counts are cut at 16 bits: such a range bounds nothing and counts in full
+            shared = np.where((x == 0xFFFF) | (y == 0xFFFF), 1 << 40, np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+            both = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
+            keep = shared * (100 + percent) >= percent * both
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    likely = cut(counted.select("a", "b", "ranges_a", "ranges_b").mapInArrow(suffixes, "a bigint, b bigint"), "pairs")
+    whole = texts.select("node", "text")
+    both = likely.join(whole.toDF("b", "text_b"), "b").join(whole.toDF("a", "text_a"), "a")
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(*(shingle_sets(batch.column(i), words) for i in (2, 3))):
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+        return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(
+        both.select("a", "b", "text_a", "text_b"), check, "a bigint, b bigint", text="text_a", batch_bytes=4 << 20
+    )
 
-    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(check, "a bigint, b bigint")
 
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """node, label for all nodes of the links (a, b); equal labels are one component. ``known`` are
+    the labels of earlier links, which go on to hold.
 
-def components(links: DataFrame) -> DataFrame:
-    """node, label for all nodes of the links (a, b); equal labels are one component. Labels sink
-    to the smallest of the neighbours and then to that label's own label, until nothing changes."""
-    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    In every pass each label that has a neighbour hooks to the smallest one, and hooks are followed
+    two steps further; the number of open labels at least halves. It ends when no link is between
+    different labels.
+    """
+    edges = cut(links.distinct(), "links")
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
+    if known is not None:
+        labels = cut(known.unionByName(labels.join(known, "node", "left_anti")), "labels")
     while True:
-        near = (
-            both.join(labels.toDF("b", "other"), "b").groupBy("a").agg(F.min("other").alias("other"))
-            .withColumnRenamed("a", "node")
-        )
-        sunk = labels.join(near, "node").select("node", "label", F.least("label", "other").alias("next"))
-        hop = labels.toDF("next", "beyond")
-        moved = cut(
-            sunk.join(hop, "next").select("node", F.least("next", "beyond").alias("label"), (F.least("next", "beyond") < F.col("label")).alias("moved")),
-            "labels",
+        ends = edges.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").where("x <> y")
+        open_ends = cut(
+            ends.select(F.inline(F.array(F.struct(F.col("x").alias("x"), F.col("y").alias("y")), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))),
+            "open",
         )
-        labels = moved.select("node", "label")
-        if moved.where("moved").isEmpty():
+        if open_ends.isEmpty():
             return labels
+        hooks = open_ends.groupBy("x").agg(F.min("y").alias("to")).select("x", F.least("x", "to").alias("to"))
+        for _ in range(2):
+            further = hooks.toDF("to", "beyond")
+            hooks = hooks.join(further, "to", "left").select("x", F.coalesce("beyond", "to").alias("to"))
+        labels = cut(
+            labels.join(hooks.withColumnRenamed("x", "label"), "label", "left")
+            .select("node", F.coalesce("to", "label").alias("label")),
+            "labels",
+        )
 
 
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -266,15 +288,28 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         seed += 1
     held = docs.sparkSession.sparkContext.broadcast(frequent_grams(rows, words))
     by_gram = Window.partitionBy("gram")
+    by_size = by_gram.orderBy("size", "node")
+    near = F.lit(percent / 100 - 1e-9)
     shared = cut(
         prefixes(rows, words, percent, seed, held)
-        .withColumn("head", F.min(F.struct("size", "node", "pos")).over(by_gram))
+        .withColumn("before", F.lag(F.struct("size", "node", "pos")).over(by_size))
+        .withColumn("after", F.lead("size").over(by_size))
+        # a row without a neighbour of a size that can reach the threshold has no partner here
+        .where((F.col("before.size") >= F.col("size") * near) | (F.col("size") >= F.col("after") * near))
+        .drop("after")
         .withColumn("low", F.min("node").over(by_gram))
         .withColumn("high", F.max("node").over(by_gram))
         .where("low < high").drop("low", "high"),
         "prefixes",
     )
-    sets = cut(sets_of(rows, shared.select("node").distinct(), words, seed), "sets")
+    # fewer shared n-grams than two sets at the threshold have in common: no partner at all
+    enough = cut(
+        shared.groupBy("node", "size").agg(F.count_distinct("gram").alias("n"))
+        .where(F.col("n") >= least_shared(F.col("size"))).select("node"),
+        "enough",
+    )
+    shared = shared.join(enough, "node", "left_semi")
+    texts = cut(texts_of(rows, enough, words, seed), "texts")
 
     def possible(size_a, pos_a, size_b, pos_b, before) -> Column:
         """The filters on lengths and positions; ``before`` is what may be shared earlier."""
@@ -283,38 +318,62 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             before + rest >= least_overlap(size_a, size_b, percent)
         )
 
-    head = F.col("head")
-    first = (
+    head = F.col("before")
+    first = cut(
         shared.where(F.col("node") != head["node"])
         .where(possible(F.col("size"), F.col("pos"), head["size"], head["pos"], F.least("pos", head["pos"])))
-        .select(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
-        .distinct()
-    )
-    links = cut(verified(first, sets, percent), "links")
-    labels = components(links)
-    # round two: n-grams whose sets are still in different components
-    labelled = shared.join(labels, "node", "left").select(
-        "gram", "node", "size", "pos", F.coalesce("label", "node").alias("label")
-    )
-    open_grams = cut(
-        labelled.withColumn("low", F.min("label").over(by_gram)).withColumn("high", F.max("label").over(by_gram))
-        .where("low < high").drop("low", "high").distinct(),
-        "open",
+        .groupBy(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
+        .agg(F.count_distinct("gram").alias("n"), F.min(F.least("size", head["size"])).alias("size"))
+        .where(F.col("n") >= least_shared(F.col("size"))).select("a", "b"),
+        "first",
     )
+    tested = first
+    labels = components(cut(verified(first, texts, words, percent), "links"))
+
+    def labelled() -> DataFrame:
+        """The rows of n-grams whose sets are still in different components."""
+        rows = shared.drop("before").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return (
+            rows.withColumn("low", F.min(F.struct("label", "size", "node", "pos")).over(by_gram))
+            .withColumn("high", F.max("label").over(by_gram))
+            .where(F.col("low.label") < F.col("high")).drop("high").distinct()
+        )
+
+    for _ in range(STARS):
+        head = F.col("low")
+        star = (
+            labelled().where(F.col("label") != head["label"])
+            .where(possible(F.col("size"), F.col("pos"), head["size"], head["pos"], F.least("pos", head["pos"])))
+            .groupBy(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
+            .agg(F.count("*").alias("n"), F.min(F.least("size", head["size"])).alias("size"))
+            .where(F.col("n") >= least_shared(F.col("size"))).select("a", "b")
+        )
+        star = cut(star.join(tested, ["a", "b"], "left_anti"), "star")
+        found = cut(verified(star, texts, words, percent), "links")
+        if found.isEmpty():
+            break
+        tested, labels = tested.unionByName(star), components(found, labels)
+    open_grams = cut(labelled().drop("low").select("gram", "node", "size", "pos", "label"), "open")
     # the pair's smaller label is its left side, so that a pair comes in one order
-    second = (
+    last = (
         open_grams.toDF("gram", "a", "size_a", "pos_a", "label_a")
         .join(open_grams.toDF("gram", "b", "size_b", "pos_b", "label_b"), "gram")
         .where(F.col("label_a") < F.col("label_b"))
         .where(possible(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b"), F.least("pos_a", "pos_b")))
-        .groupBy("a", "b")
-        .agg(*[F.min(c).alias(c) for c in ("size_a", "pos_a", "size_b", "pos_b")])
+        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .agg(
+            F.count("*").alias("n"), F.min(F.when(F.col("a") < F.col("b"), F.col("pos_a")).otherwise(F.col("pos_b"))).alias("pos_a"),
+            F.min(F.when(F.col("a") < F.col("b"), F.col("pos_b")).otherwise(F.col("pos_a"))).alias("pos_b"),
+            F.min(F.when(F.col("a") < F.col("b"), F.col("size_a")).otherwise(F.col("size_b"))).alias("size_a"),
+            F.min(F.when(F.col("a") < F.col("b"), F.col("size_b")).otherwise(F.col("size_a"))).alias("size_b"),
+        )
+        .where(F.col("n") >= least_shared(F.least("size_a", "size_b")))
         .where(possible(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b"), F.lit(0)))
         .select("a", "b")
-    )
-    rest = cut(verified(second.join(first.toDF("a", "b"), ["a", "b"], "left_anti"), sets, percent), "links")
+    )
+    rest = cut(verified(last.join(tested, ["a", "b"], "left_anti"), texts, words, percent), "links")
     if not rest.isEmpty():
-        labels = components(links.unionByName(rest))
+        labels = components(rest, labels)
     named = classes.join(labels, "node", "left").select("key", "least_id", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_key = named.join(least, "label").select("key", "component_id")
