@@ -39,7 +39,7 @@ WORDS, PERCENT = 5, 80
 #: An n-gram is counted as frequent where this many texts of a task have it; the longest list kept.
 FREQUENT, MAX_FREQUENT = 4, 1 << 18
 #: Ranges of hashes for the suffix filter, and the share of n-grams that a prefix is longer by.
-RANGES, LONGER = 256, 50
+RANGES, LONGER = 256, 10
 #: Rounds of comparing with the first set of an n-gram before all open pairs are compared.
 STARS = 3
 
@@ -322,9 +322,8 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     first = cut(
         shared.where(F.col("node") != head["node"])
         .where(possible(F.col("size"), F.col("pos"), head["size"], head["pos"], F.least("pos", head["pos"])))
-        .groupBy(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
-        .agg(F.count_distinct("gram").alias("n"), F.min(F.least("size", head["size"])).alias("size"))
-        .where(F.col("n") >= least_shared(F.col("size"))).select("a", "b"),
+        .select(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
+        .distinct(),
         "first",
     )
     tested = first
@@ -344,9 +343,8 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         star = (
             labelled().where(F.col("label") != head["label"])
             .where(possible(F.col("size"), F.col("pos"), head["size"], head["pos"], F.least("pos", head["pos"])))
-            .groupBy(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
-            .agg(F.count("*").alias("n"), F.min(F.least("size", head["size"])).alias("size"))
-            .where(F.col("n") >= least_shared(F.col("size"))).select("a", "b")
+            .select(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
+            .distinct()
         )
         star = cut(star.join(tested, ["a", "b"], "left_anti"), "star")
         found = cut(verified(star, texts, words, percent), "links")
@@ -354,22 +352,22 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             break
         tested, labels = tested.unionByName(star), components(found, labels)
     open_grams = cut(labelled().drop("low").select("gram", "node", "size", "pos", "label"), "open")
-    # the pair's smaller label is its left side, so that a pair comes in one order
+    # the larger set of a pair comes with its plain prefix, the smaller one with a shorter prefix;
+    # both hold the first n-gram that the pair shares
+    larger = open_grams.where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * near))
+    smaller = open_grams.where(F.col("pos") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent))
+    places = [F.col(c) for c in ("size_a", "pos_a", "size_b", "pos_b")]
     last = (
-        open_grams.toDF("gram", "a", "size_a", "pos_a", "label_a")
-        .join(open_grams.toDF("gram", "b", "size_b", "pos_b", "label_b"), "gram")
-        .where(F.col("label_a") < F.col("label_b"))
-        .where(possible(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b"), F.least("pos_a", "pos_b")))
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(
-            F.count("*").alias("n"), F.min(F.when(F.col("a") < F.col("b"), F.col("pos_a")).otherwise(F.col("pos_b"))).alias("pos_a"),
-            F.min(F.when(F.col("a") < F.col("b"), F.col("pos_b")).otherwise(F.col("pos_a"))).alias("pos_b"),
-            F.min(F.when(F.col("a") < F.col("b"), F.col("size_a")).otherwise(F.col("size_b"))).alias("size_a"),
-            F.min(F.when(F.col("a") < F.col("b"), F.col("size_b")).otherwise(F.col("size_a"))).alias("size_b"),
+        larger.toDF("gram", "a", "size_a", "pos_a", "label_a")
+        .join(smaller.toDF("gram", "b", "size_b", "pos_b", "label_b"), "gram")
+        .where(
+            (F.col("label_a") != F.col("label_b"))
+            & ((F.col("size_a") > F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") > F.col("b"))))
         )
-        .where(F.col("n") >= least_shared(F.least("size_a", "size_b")))
-        .where(possible(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b"), F.lit(0)))
-        .select("a", "b")
+        .where(possible(*places, F.least("pos_a", "pos_b")))
+        .groupBy("a", "b", "size_a", "size_b").agg(F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"))
+        .where(possible(*places, F.lit(0)))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
     rest = cut(verified(last.join(tested, ["a", "b"], "left_anti"), texts, words, percent), "links")
     if not rest.isEmpty():
