@@ -146,8 +146,8 @@ class Index:
             tables = []
             for row in keys:
                 order = np.argsort(row, kind="stable")
-                seen = np.zeros(1 << 22, dtype=bool)
-                seen[row >> np.uint64(42)] = True
+                seen = np.zeros(1 << 20, dtype=bool)
+                seen[row >> np.uint64(44)] = True
                 tables.append((row[order], of[order], offset[order], seen))
             self.classes.append((size, walk, tables))
 
@@ -164,7 +164,7 @@ class Index:
             for a in range(0, len(starts), WINDOWS_AT_ONCE):
                 part = starts[a : a + WINDOWS_AT_ONCE]
                 for keys, (have, of, offset, seen) in zip(walk.keys(padded, part), tables):
-                    maybe = np.flatnonzero(seen[keys >> np.uint64(42)])
+                    maybe = np.flatnonzero(seen[keys >> np.uint64(44)])
                     if not len(maybe):
                         continue
                     lo = np.searchsorted(have, keys[maybe], "left")

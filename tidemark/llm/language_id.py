@@ -36,7 +36,7 @@ UNKNOWN = "und"
 #: Labelled documents per language that are learned from, rounds of EM, and smoothing.
 SAMPLE, ROUNDS, SMOOTHING = 1_000, 2, 0.1
 FOLDS = 5
-MAX_WORDS = 400_000
+MAX_WORDS = 250_000
 #: Longer words are scored in stretches, so that sums stay inside the range of doubles.
 WORD = re.compile(r"[^\W\d_]{1,32}")
 

@@ -26,8 +26,8 @@ from tidemark.llm.pieces import ALONE, Pieces, default_model, load, segments
 from tidemark.llm.shared import map_batches, text_or_empty
 
 #: Characters indexed at a time, and segments whose encodings a worker keeps.
-INDEX_CHARS = 400_000
-MAX_KEPT = 500_000
+INDEX_CHARS = 200_000
+MAX_KEPT = 250_000
 _SLOTS = 1 << 20
 
 
