@@ -16,9 +16,15 @@ MAX_HOT_KEYS = 10_000
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints; a temporary one where none is set."""
+    """The shared folder the cluster names for checkpoints.
+
+    Only a local master may go without one; it gets a temporary folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
