@@ -196,6 +196,13 @@ def test_stream_of_documents_equals_batch(spark, docs, tmp_path):
     got = {r.check_name: r.metric_value for r in store.table("quality_checks").collect()}
     assert got["row_count"] == 4 and got["duplicate_content"] == 1 and got["empty_content"] == 1
     assert table.count() == 4 and seen == [7]
+    # another stream into the same table starts at batch 0 again and adds to what is there
+    more = d.withColumn("doc_id", F.concat(F.lit("x"), "doc_id"))
+    more.write.parquet(str(tmp_path / "more"))
+    again = parquet_stream(spark, str(tmp_path / "more"), "doc_id string, content string, pos bigint")
+    watch_documents(again, table, store, hashed_terms(8), str(tmp_path / "cp2")).awaitTermination()
+    assert table.count() == 8 and {"content", "embedding"} <= set(table.scan().columns)
+    assert store.table("quality_checks").select("run_id").distinct().count() == 2
 
 
 def test_pass_rate_windows_batch_and_stream(spark, tmp_path):
@@ -214,3 +221,15 @@ def test_pass_rate_windows_batch_and_stream(spark, tmp_path):
     out.awaitTermination()
     streamed = {r.start: (r.total, r.pass_rate) for r in spark.table("rates").collect()}
     assert streamed == batch
+
+
+def test_alert_numbers_and_console(spark, capsys):
+    values = [0.0, 1.0, 12000000.0, 0.00034, 1e16, 2.5e-05, 123456789.125, 1e-4, -5e20, 9999999.0, 0.1 + 0.2]
+    rows = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    got = [r.t for r in rows.select(alerts._number("v").alias("t")).collect()]
+    assert got == [*[repr(v) for v in values], "None"]
+    many = spark.range(45).selectExpr(
+        "'WARNING' AS severity", "'drift' AS source_module", "concat('t', id) AS title", "repeat('m', 200) AS message"
+    )
+    alerts.console(many)
+    assert capsys.readouterr().out.count("m" * 200) == 45

@@ -68,7 +68,7 @@ YEAR_ONLY = (
     rf"(?iu)(?=[isfaub]){WORD_START}(?:{'|'.join(YEAR_WORDS)}){SPACE}+(20[0-9]{{2}}){WORD_END}"
 )
 ANY_NEGATION = rf"(?iu)(?=[ndiwcsf]){WORD_START}(?:{'|'.join(NEGATIONS)}){WORD_END}"
-_MONTH_KEYS = "".join(m[:3].lower() for m in MONTHS)
+_MONTH_NUMBERS = {name[:3].lower(): number for number, name in enumerate(MONTHS, 1)}
 
 
 def _col(c: Column | str) -> Column:
@@ -122,9 +122,9 @@ def _day(year: Column, month: Column, day: Column) -> Column:
 
 
 def _month_number(name: Column) -> Column:
-    """Month names differ in their first three letters; find those in the joined list."""
-    at = F.instr(F.lit(_MONTH_KEYS), F.lower(F.left(name, F.lit(3))))
-    return ((at + 2) / 3).cast("int").cast("string")
+    """Month names differ in their first three letters."""
+    numbers = F.create_map(*[F.lit(str(x)) for pair in _MONTH_NUMBERS.items() for x in pair])
+    return F.element_at(numbers, F.lower(F.left(name, F.lit(3))))
 
 
 def date_mentions(c: Column | str) -> Column:

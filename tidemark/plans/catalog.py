@@ -138,14 +138,14 @@ def table_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    holes = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey",
-        "nullif(l_returnflag, 'R') AS l_returnflag",
-        "nullif(l_linenumber, 3) AS l_linenumber",
-        "CASE WHEN l_discount = 0 THEN double('NaN') ELSE l_discount END AS l_discount",
-        "CASE WHEN l_shipdate < TIMESTAMP'1995-01-01' THEN l_shipdate END AS l_shipdate",
-    )
-    return quality.missing_counts(holes)
+    holes = {
+        "l_returnflag": "nullif(l_returnflag, 'R')",
+        "l_linenumber": "nullif(l_linenumber, 3)",
+        "l_discount": "CASE WHEN l_discount = 0 THEN double('NaN') ELSE l_discount END",
+        "l_shipdate": "CASE WHEN l_shipdate < TIMESTAMP'1995-01-01' THEN l_shipdate END",
+    }
+    rows = table(spark, sf_dir, "lineitem")
+    return quality.missing_counts(rows.withColumns({c: F.expr(e) for c, e in holes.items()}))
 
 
 @query
@@ -563,11 +563,8 @@ def embedding_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def embedding_window_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("vec_id"), F.col("ts").cast("timestamp").alias("ingested_at")
-    )
-    first = seen.groupBy("vec_id").agg(F.min("ingested_at").alias("ingested_at"))
-    rows = embeddings(spark, sf_dir).withColumnRenamed("pos", "vec_id").join(first, "vec_id")
+    hour = F.expr("make_interval(0, 0, 0, 0, int(pos % 240))")
+    rows = embeddings(spark, sf_dir).withColumn("ingested_at", F.lit(dt.datetime(2024, 1, 1)) + hour)
     found = in_window(rows, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 6))
     return found.select("doc_id", "label", stamp("ingested_at").alias("ingested_at"))
 

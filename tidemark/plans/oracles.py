@@ -92,7 +92,8 @@ WITH h AS (
   SELECT count(*) AS n, 0 AS a, count(*) FILTER (l_returnflag = 'R') AS b,
     count(*) FILTER (l_linenumber = 3) AS c, count(*) FILTER (l_discount = 0) AS d,
     count(*) FILTER (l_shipdate >= TIMESTAMP '1995-01-01') AS e FROM lineitem)
-SELECT 'l_orderkey' AS "column", a::BIGINT AS null_count, n AS total_rows FROM h
+SELECT name AS "column", a::BIGINT AS null_count, n AS total_rows
+FROM h, unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_quantity', 'l_extendedprice', 'l_tax', 'l_linestatus']) AS u(name)
 UNION ALL SELECT 'l_returnflag', b, n FROM h UNION ALL SELECT 'l_linenumber', c, n FROM h
 UNION ALL SELECT 'l_discount', d, n FROM h UNION ALL SELECT 'l_shipdate', e, n FROM h"""
 
@@ -480,9 +481,8 @@ m AS (SELECT id, e FROM td UNION ALL
 SELECT id AS doc_id, round(list_max(e), 4) AS largest, round(list_min(e), 4) AS smallest FROM m"""
 
 ORACLES["embedding_window_scan"] = """
-WITH f AS (SELECT user_id, min(ts) AS t FROM events GROUP BY user_id)
 SELECT vec_id::VARCHAR AS doc_id, label, strftime(t, '%Y-%m-%d %H:%M:%S') AS ingested_at
-FROM embeddings JOIN f ON user_id = vec_id
+FROM (SELECT *, TIMESTAMP '2024-01-01' + to_hours(vec_id % 240) AS t FROM embeddings)
 WHERE t BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-06'"""
 
 ORACLES["embedding_count"] = "SELECT count(*) AS vectors FROM embeddings"

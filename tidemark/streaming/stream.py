@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.encoders import Encoder
 from tidemark.operators import quality
 from tidemark.plans.history import History
-from tidemark.sources.embeddings import VectorTable
+from tidemark.sources.embeddings import VectorTable, flat_metadata
 
 
 def pass_rate_windows(
@@ -41,15 +41,21 @@ def watch_documents(
 ) -> StreamingQuery:
     """For every batch of arriving documents: encode and upsert them, check them, keep the result.
 
-    The batch number names the embedding batch and the run, so a batch that is tried again after
-    a failure replaces its own output.
+    The stream's own id, which its checkpoint keeps, and the batch number name the embedding batch
+    and the run. A batch that is tried again after a failure replaces its own output, and no other
+    writer's. Beside the vectors the table keeps content, metadata and time of ingestion where
+    the documents have them.
     """
+    spark = documents.sparkSession
 
     def handle(batch: DataFrame, number: int) -> None:
-        encoded = encoder(batch.select("doc_id", "content"))
-        vectors.put(encoded.select("doc_id", "embedding"), batch=number)
+        run_id = f"stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        encoded = encoder(batch.select("doc_id", "content")).select("doc_id", "embedding")
+        whole = {"source_path", "metadata", "ingested_at"} <= set(batch.columns)
+        kept = [c for c in ("content", "metadata", "ingested_at") if c in batch.columns]
+        described = (flat_metadata(batch) if whole else batch).select("doc_id", *kept)
+        vectors.put(described.dropDuplicates(["doc_id"]).join(encoded, "doc_id"), writer=run_id)
         checks = quality.all_checks(batch, checked_at=F.current_timestamp())
-        run_id = f"stream-{number}"
         history.replace("quality_checks", checks, run_id)
         if on_checks is not None:
             on_checks(history.of_run("quality_checks", run_id))
