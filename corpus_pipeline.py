@@ -45,8 +45,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids, their number, and whether decoding them gives the text back."""
-    rows = sentencepiece_codec.decode(sentencepiece_codec.encode(docs))
-    return rows.select(
+    return sentencepiece_codec.round_trip(docs).select(
         "doc_id",
         "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
