@@ -109,7 +109,7 @@ class Walk:
     def keys(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """repetitions x windows; ``data`` has to go on for ``steps`` bytes after each start."""
         keys = np.zeros((self.repeats, len(starts)), dtype=np.uint64)
-        place = starts.copy()
+        place = starts.astype(np.int64)
         for moves, wanted in zip(self.moves, self.at):
             here = data[place]
             for r in wanted:
@@ -137,10 +137,10 @@ class Index:
                 continue
             of, offset, keys = [], [], []
             for n in own:
-                begins = np.arange(len(self.texts[n]) - size + 1)
+                begins = np.arange(len(self.texts[n]) - size + 1, dtype=np.int32)
                 padded = np.frombuffer(self.texts[n] + bytes(walk.steps), np.uint8)
                 keys.append(walk.keys(padded, begins))
-                of.append(np.full(len(begins), n))
+                of.append(np.full(len(begins), n, dtype=np.int32))
                 offset.append(begins)
             of, offset, keys = np.concatenate(of), np.concatenate(offset), np.concatenate(keys, axis=1)
             tables = []
