@@ -56,7 +56,6 @@ class Pieces:
                 self.texts[i] = piece
                 self.raw[i] = piece.replace(BLANK, " ").encode()
         self.longest = max(map(len, self.ids))
-        self._fits: dict[tuple[int, int], bool] = {}
 
     def merge(self, text: str) -> list[str]:
         """The merge rule by itself: always join the neighbours whose union scores best, the
@@ -79,18 +78,10 @@ class Pieces:
         which each two neighbours fit: up to the first merge across a border, the parts on both
         sides develop as they do alone.
         """
-        key = (before, piece)
-        found = self._fits.get(key)
-        if found is None:
-            own = self.texts[piece]
-            if before == ALONE:
-                found = self.merge(own) == [own]
-            else:
-                found = self.merge(self.texts[before] + own) == [self.texts[before], own]
-            if len(self._fits) > 1_000_000:
-                self._fits.clear()
-            self._fits[key] = found
-        return found
+        own = self.texts[piece]
+        if before == ALONE:
+            return self.merge(own) == [own]
+        return self.merge(self.texts[before] + own) == [self.texts[before], own]
 
 
 @lru_cache(maxsize=2)

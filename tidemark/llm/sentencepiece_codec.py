@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.pieces import ALONE, Pieces, default_model, load, segments
 from tidemark.llm.shared import map_batches, text_or_empty
 
-#: Characters indexed at a time, and segments whose encodings a worker keeps.
+#: Characters indexed at a time, segments whose encodings a worker keeps, bytes of text at a time.
 INDEX_CHARS = 200_000
-MAX_KEPT = 250_000
-_SLOTS = 1 << 20
+MAX_KEPT = 200_000
+BATCH_BYTES = 2 << 20
+_SLOTS = 1 << 22
 
 
 class Encoder:
@@ -52,8 +53,9 @@ class Encoder:
         self.len_of = np.zeros(pieces.size + 1, dtype=np.int32)
         self.len_of[self.piece_ids] = self.piece_len
         self.alone = pieces.size  # the code of ALONE in arrays
-        self.known_keys = np.full(_SLOTS, -1, dtype=np.int64)
-        self.known = np.zeros(_SLOTS, dtype=bool)
+        # pairs met so far, as 2 * pair + 1 + fits; 0 is an empty slot
+        small = 2 * (self.alone + 1) ** 2 < 1 << 32
+        self.known = np.zeros(_SLOTS, dtype=np.uint32 if small else np.uint64)
         self.forget()
 
     def forget(self) -> None:
@@ -61,6 +63,20 @@ class Encoder:
         self.pool = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.counts = np.zeros(0, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def shrink(self) -> None:
+        """Keep the encodings that were used again, at most half of ``MAX_KEPT``, the most used."""
+        order = np.argsort(-self.uses, kind="stable")[: MAX_KEPT // 2]
+        kept = np.sort(order[self.uses[order] > 1])
+        new = np.full(len(self.uses), -1, dtype=np.int64)
+        new[kept] = np.arange(len(kept))
+        self.index = {s: n for s, old in self.index.items() if (n := int(new[old])) >= 0}
+        counts = self.counts[kept]
+        starts = np.cumsum(counts) - counts
+        self.pool = self.pool[np.arange(counts.sum()) + np.repeat(self.starts[kept] - starts, counts)]
+        self.starts, self.counts = starts, counts
+        self.uses = np.ones(len(kept), dtype=np.int64)
 
     def _pack(self, codes: np.ndarray) -> list[np.ndarray]:
         wide = codes.astype(np.uint64)
@@ -74,8 +90,9 @@ class Encoder:
         """``Pieces.fits`` for arrays, through a table of the pairs met so far."""
         keys = before.astype(np.int64) * (self.alone + 1) + piece
         slots = (keys * 0x9E3779B1 >> 7) & (_SLOTS - 1)
-        out = self.known[slots]
-        missed = np.flatnonzero(self.known_keys[slots] != keys)
+        held = self.known[slots].astype(np.int64) - 1
+        out = (held & 1).astype(bool)
+        missed = np.flatnonzero((held < 0) | (held >> 1 != keys))
         if len(missed):
             new, where = np.unique(keys[missed], return_inverse=True)
             first, second = np.divmod(new, self.alone + 1)
@@ -88,9 +105,7 @@ class Encoder:
                 dtype=bool,
             )
             out[missed] = found[where]
-            at = (new * 0x9E3779B1 >> 7) & (_SLOTS - 1)
-            at, chosen = np.unique(at, return_index=True)
-            self.known_keys[at], self.known[at] = new[chosen], found[chosen]
+            self.known[(new * 0x9E3779B1 >> 7) & (_SLOTS - 1)] = 2 * new + 1 + found
         return out
 
     def edges(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,12 +193,13 @@ class Encoder:
         self.index.update(zip(new, range(base, base + len(new))))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
         self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text begins and ends."""
         if len(self.index) > MAX_KEPT:
-            self.forget()
+            self.shrink()
         cut = [segments(t) for t in texts]
         new: list[str] = []
         size, index = 0, self.index
@@ -197,6 +213,7 @@ class Encoder:
             self.learn(new)
         number = np.array([index[s] for found in cut for s in found], dtype=np.int64)
         per_text = np.array([len(found) for found in cut], dtype=np.int64)
+        self.uses += np.bincount(number, minlength=len(self.uses))
         counts = self.counts[number]
         done = np.concatenate([[0], np.cumsum(counts)])
         ids = self.pool[np.arange(done[-1]) + np.repeat(self.starts[number] - done[:-1], counts)]
@@ -236,7 +253,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
         arrays = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids, pa.int32()))
         return pa.RecordBatch.from_arrays([*batch.columns, arrays], names=["doc_id", "text", "ids"])
 
-    return map_batches(rows, work, "doc_id bigint, text string, ids array<int>", batch_bytes=4 << 20)
+    return map_batches(rows, work, "doc_id bigint, text string, ids array<int>", batch_bytes=BATCH_BYTES, done=lambda: encoder(model).forget())
 
 
 def decode(rows: DataFrame, model: str | None = None) -> DataFrame:
@@ -274,7 +291,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
         )
 
     wanted = "doc_id bigint, text string, ids array<int>, decoded string"
-    return map_batches(rows, work, wanted, batch_bytes=4 << 20)
+    return map_batches(rows, work, wanted, batch_bytes=BATCH_BYTES, done=lambda: encoder(model).forget())
 
 
 def op3(docs: DataFrame, model: str | None = None) -> DataFrame:

@@ -44,9 +44,11 @@ def text_or_empty(name: str = "text") -> Column:
 
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-    text: str = "text", batch_bytes: int = 8 << 20,
+    text: str = "text", batch_bytes: int = 8 << 20, done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """``work`` on Arrow batches of about ``batch_bytes`` of text each; one text is never split."""
+    """``work`` on Arrow batches of about ``batch_bytes`` of text each; one text is never split.
+    ``done`` is called at the end of each task: workers are used again, by other stages too, and
+    would otherwise hold what a task gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,6 +56,8 @@ def map_batches(
                 out = work(part)
                 if out is not None and out.num_rows:
                     yield out
+        if done is not None:
+            done()
 
     return df.mapInArrow(run, schema)
 
