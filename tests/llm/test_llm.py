@@ -80,6 +80,12 @@ def test_forward_sums_all_segmentations():
     for word in ("a", "other", "été", "x中y"):
         assert language_id.forward(lattice.edges(word), probs)[-1][0] == pytest.approx(brute(pieces.BLANK + word))
 
+    words = ["a", "other", "été", "x中y", "a", "𝄞", "z" * 32]
+    wide = np.random.RandomState(2).rand(lattice.size + 1, 3)
+    found = language_id.word_sums(words, pieces.default_model(), wide)
+    for word, sums in zip(words, found):
+        assert sums == pytest.approx(language_id.forward(lattice.edges(word), wide)[-1])
+
 
 @needs_tables
 def test_language_accuracy_on_held_out(spark):

@@ -30,13 +30,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import BLANK, default_model, load
-from tidemark.llm.shared import map_batches, text_or_empty
+from tidemark.llm.sentencepiece_codec import encoder
+from tidemark.llm.shared import map_batches, split_batch, text_or_empty
 
 UNKNOWN = "und"
 #: Labelled documents per language that are learned from, rounds of EM, and smoothing.
 SAMPLE, ROUNDS, SMOOTHING = 1_000, 2, 0.1
 FOLDS = 5
-MAX_WORDS = 250_000
+#: Words whose scores a task keeps, words scored together, bytes of text at a time.
+MAX_WORDS, WORDS_AT_ONCE, BATCH_BYTES = 250_000, 25_000, 2 << 20
 #: Longer words are scored in stretches, so that sums stay inside the range of doubles.
 WORD = re.compile(r"[^\W\d_]{1,32}")
 
@@ -80,7 +82,8 @@ def lattice(model: str) -> Lattice:
 
 
 def forward(ending: list[list[tuple[int, int]]], probs: np.ndarray) -> list[np.ndarray]:
-    """Sums over all segmentations of each prefix, for all languages at once."""
+    """Sums over all segmentations of each prefix of one word, for all languages at once; what
+    ``word_sums`` works out for many words together."""
     reach = [np.ones(probs.shape[1])]
     for here in ending[1:]:
         total = 0.0
@@ -90,6 +93,25 @@ def forward(ending: list[list[tuple[int, int]]], probs: np.ndarray) -> list[np.n
     return reach
 
 
+def word_sums(words: list[str], model: str, probs: np.ndarray) -> np.ndarray:
+    """The sum over all segmentations of each word, words x languages: one forward pass over the
+    lattices of all words in step, by the place where edges end."""
+    _, begins, sizes, start, piece, length = encoder(model).lattices([BLANK + w for w in words])
+    offset = np.arange(int((sizes + 1).sum())) - np.repeat(begins, sizes + 1)
+    to = start + length
+    ends = offset[start] + length
+    order = np.lexsort((to, ends))
+    start, piece, to, ends = start[order], piece[order], to[order], ends[order]
+    reach = np.zeros((len(offset), probs.shape[1]))
+    reach[begins] = 1.0
+    steps = np.flatnonzero(np.diff(ends, prepend=-1, append=-1))
+    for a, b in zip(steps[:-1], steps[1:]):
+        firsts = np.flatnonzero(np.diff(to[a:b], prepend=-1))
+        through = reach[start[a:b]] * probs[piece[a:b]]
+        reach[to[a:b][firsts]] = np.add.reduceat(through, firsts, axis=0)
+    return reach[begins + sizes]
+
+
 def expected_counts(ending: list[list[tuple[int, int]]], probs: list[float]) -> dict[int, float]:
     """Expected piece counts of a word in one language, by forward and backward sums."""
     n = len(ending) - 1
@@ -179,42 +201,46 @@ def learn(
 
 
 class Scorer:
+    """Scores texts; the log probabilities of words met before are kept, ``MAX_WORDS`` and what one
+    batch adds at most."""
+
     def __init__(self, model: str, probs: np.ndarray):
-        self.lattice, self.probs = lattice(model), probs
+        self.model, self.probs = model, probs
+        self.forget()
+
+    def forget(self) -> None:
         self.words: dict[str, int] = {}
-        self.logs = np.zeros((1024, probs.shape[1]))
-
-    def number(self, word: str) -> int:
-        reach = forward(self.lattice.edges(word), self.probs)
-        if len(self.words) == len(self.logs):
-            self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
-        at = self.words[word] = len(self.words)
-        self.logs[at] = np.log(np.maximum(reach[-1], 1e-300))
-        return at
-
-    def score(self, text: str) -> np.ndarray | None:
-        """Log probability per language, or None for a text without a letter."""
-        found = words_of(text)
-        if not found:
-            return None
+        self.logs = np.zeros((0, self.probs.shape[1]))
+
+    def learn(self, new: list[str]) -> None:
+        at = len(self.words)
+        self.words.update(zip(new, range(at, at + len(new))))
+        sums = word_sums(new, self.model, self.probs)
+        self.logs = np.concatenate([self.logs, np.log(np.maximum(sums, 1e-300))])
+
+    def best(self, texts: list[str]) -> list[tuple[int | None, float]]:
+        """The likeliest language of each text and its posterior; None and 0 for a text without a
+        letter, and for all if there are no languages."""
+        out: list[tuple[int | None, float]] = [(None, 0.0)] * len(texts)
+        found = [words_of(t) for t in texts]
+        spoken = [n for n, words in enumerate(found) if words]
+        if not self.probs.shape[1] or not spoken:
+            return out
         if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        get = self.words.get
-        numbers = [get(w) for w in found]
-        if None in numbers:
-            numbers = [
-                n if n is not None else (known if (known := get(w)) is not None else self.number(w))
-                for n, w in zip(numbers, found)
-            ]
-        return self.logs[numbers].sum(axis=0)
-
-    def best(self, text: str) -> tuple[int | None, float]:
-        """The likeliest language and its posterior; None and 0 where there is none."""
-        logs = self.score(text) if self.probs.shape[1] else None
-        if logs is None:
-            return None, 0.0
-        at = int(np.argmax(logs))
-        return at, float(1.0 / np.exp(np.maximum(logs - logs[at], -700.0)).sum())
+            self.forget()
+        known = self.words
+        new = list({w for words in found for w in words if w not in known})
+        for a in range(0, len(new), WORDS_AT_ONCE):
+            self.learn(new[a : a + WORDS_AT_ONCE])
+        numbers = np.array([known[w] for words in found for w in words], dtype=np.int64)
+        sizes = np.array([len(found[n]) for n in spoken], dtype=np.int64)
+        logs = np.add.reduceat(self.logs[numbers], np.cumsum(sizes) - sizes, axis=0)
+        at = logs.argmax(axis=1)
+        gaps = logs - logs[np.arange(len(at)), at][:, None]
+        sure = 1.0 / np.exp(np.maximum(gaps, -700.0)).sum(axis=1)
+        for n, language, score in zip(spoken, at.tolist(), sure.tolist()):
+            out[n] = language, score
+        return out
 
 
 def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, model: str | None = None) -> DataFrame:
@@ -224,16 +250,14 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, model: str | N
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model, held.value)
-        for batch in batches:
-            found, sure = [], []
-            for text in batch.column(1).to_pylist():
-                at, score = scorer.best(text)
-                found.append(UNKNOWN if at is None else langs[at])
-                sure.append(score)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.string()), pa.array(sure, pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
+        for whole in batches:
+            for batch in split_batch(whole, "text", BATCH_BYTES):
+                best = scorer.best(batch.column(1).to_pylist())
+                found = [UNKNOWN if at is None else langs[at] for at, _ in best]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(found, pa.string()), pa.array([s for _, s in best], pa.float64())],
+                    names=["doc_id", "lang_pred", "score"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(work, "doc_id bigint, lang_pred string, score double")
@@ -257,9 +281,10 @@ def keep_identified(docs: DataFrame, least: float = 0.5, model: str | None = Non
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model, held.value)
-        for batch in batches:
-            found = [scorer.best(text) for text in batch.column(len(names)).to_pylist()]
-            kept = [at is not None and score >= least for at, score in found]
-            yield batch.select(list(range(len(names)))).filter(pa.array(kept, pa.bool_()))
+        for whole in batches:
+            for batch in split_batch(whole, "__text", BATCH_BYTES):
+                best = scorer.best(batch.column(len(names)).to_pylist())
+                kept = [at is not None and score >= least for at, score in best]
+                yield batch.select(list(range(len(names)))).filter(pa.array(kept, pa.bool_()))
 
     return tagged.mapInArrow(keep, docs.schema)

@@ -139,37 +139,42 @@ class Encoder:
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(found) - found, found)
         return suffixes[np.repeat(first, found) + offset], piece
 
-    def learn(self, new: list[str]) -> None:
-        """Encode segments not met before and keep their ids."""
-        chars = np.frombuffer("\0".join([*new, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        sizes = np.array([len(s) for s in new], dtype=np.int64)
+    def lattices(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Characters of the words, each closed by a zero; begin and size of each word; start,
+        piece and length of the edges. Characters without a piece of their own are edges too."""
+        chars = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.array([len(s) for s in words], dtype=np.int64)
         begins = np.cumsum(sizes + 1) - sizes - 1
         data = self.codes[chars]
         data[data == 0] = self.other
         data[begins + sizes] = 0
         start, piece = self.edges(data)
-        # characters without a piece of their own are edges too
-        single = np.zeros(len(data) + 1, dtype=bool)
+        single = np.zeros(len(data), dtype=bool)
         single[start[self.len_of[piece] == 1]] = True
-        odd = np.flatnonzero(~single[:-1] & (data != 0)).astype(np.int32)
+        odd = np.flatnonzero(~single & (data != 0)).astype(np.int32)
         start = np.concatenate([start, odd])
         length = np.concatenate([self.len_of[piece], np.ones(len(odd), dtype=np.int32)])
         piece = np.concatenate([piece, np.full(len(odd), self.alone, dtype=np.int32)])
-        offset = np.arange(len(data)) - np.repeat(begins, sizes + 1)
+        return chars, begins, sizes, start, piece, length
+
+    def learn(self, new: list[str]) -> None:
+        """Encode segments not met before and keep their ids."""
+        chars, begins, sizes, start, piece, length = self.lattices(new)
+        offset = np.arange(len(chars)) - np.repeat(begins, sizes + 1)
         ends = offset[start] + length
         order = np.argsort(ends.astype(np.uint16) if ends.max(initial=0) < 65_536 else ends, kind="stable")
         start, piece, length, ends = start[order], piece[order], length[order], ends[order]
         borders = np.flatnonzero(np.diff(ends, prepend=-1, append=-1))
         # nodes are places between characters: the place before character i is node i
-        last = np.full(len(data) + 1, self.alone, dtype=np.int32)
-        back = np.full(len(data) + 1, -1, dtype=np.int64)
+        last = np.full(len(chars) + 1, self.alone, dtype=np.int32)
+        back = np.full(len(chars) + 1, -1, dtype=np.int64)
         for a, b in zip(borders[:-1], borders[1:]):
             s, p = start[a:b], piece[a:b]
             good = self.fits(last[s], p)
             s, p = s[good], p[good]
             to = s + length[a:b][good]
             last[to], back[to] = p, s
-        on = np.zeros(len(data) + 1, dtype=bool)
+        on = np.zeros(len(chars) + 1, dtype=bool)
         at, floor = begins + sizes, begins.copy()
         while len(at):
             on[at] = True
