@@ -343,6 +343,21 @@ def test_patience_alignment():
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
 
 
+def test_repeated_common_lines_are_aligned():
+    assert line_dedup.aligned([8, 1, 9], [6, 1, 5, 1, 4]) == [(1, 1)]
+    assert len(line_dedup.common_blocks([2, 1, 4, 1, 6], [8, 1, 10])) == 1
+    assert len(line_dedup.common_blocks([2, 1, 3, 4], [8, 1, 3, 10, 1, 3, 12])) == 2
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(12))] for _ in "ab")
+        pairs, lengths = line_dedup.longest_common(a, b), np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                lengths[i + 1, j + 1] = lengths[i, j] + 1 if x == y else max(lengths[i, j + 1], lengths[i + 1, j])
+        assert len(pairs) == lengths[-1, -1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
 def test_line_dedup(spark, edges, empty):
     one, two, three = ("this is the first shared line", "here is another shared line", "and a third line with words")
     docs = [

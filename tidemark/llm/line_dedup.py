@@ -22,6 +22,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ LEAST_CHARS = 20
 
 
 def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Pairs of places with equal lines, rising on both sides, by patience diff."""
+    """Pairs of places with equal lines, rising on both sides, by patience diff; stretches without a
+    line unique to both sides by a longest common subsequence."""
     out: list[tuple[int, int]] = []
     work = [(0, len(a), 0, len(b))]
     while work:
@@ -49,6 +51,7 @@ def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         place = {a[i]: i for i in range(a0, a1) if once_a[a[i]] == 1 and once_b.get(a[i]) == 1}
         anchors = _rising([(place[b[j]], j) for j in range(b0, b1) if b[j] in place])
         if not anchors:
+            out += [(a0 + i, b0 + j) for i, j in longest_common(a[a0:a1], b[b0:b1])]
             continue
         ends = [*anchors, (a1, b1)]
         work.append((a0, ends[0][0], b0, ends[0][1]))
@@ -57,6 +60,39 @@ def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def longest_common(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence (Hirschberg: exact, in linear memory)."""
+    in_a, in_b = set(a), set(b)
+    at_a = [i for i, x in enumerate(a) if x in in_b]
+    at_b = [j for j, x in enumerate(b) if x in in_a]
+    left = np.array([a[i] for i in at_a], dtype=np.int64)
+    right = np.array([b[j] for j in at_b], dtype=np.int64)
+    out: list[tuple[int, int]] = []
+    work = [(0, len(left), 0, len(right))]
+    while work:
+        a0, a1, b0, b1 = work.pop()
+        if a0 == a1 or b0 == b1:
+            continue
+        if a1 - a0 == 1:
+            hits = np.flatnonzero(right[b0:b1] == left[a0])
+            out += [(at_a[a0], at_b[b0 + int(j)]) for j in hits[:1]]
+            continue
+        mid = (a0 + a1) // 2
+        head = _common_lengths(left[a0:mid], right[b0:b1])
+        tail = _common_lengths(left[mid:a1][::-1], right[b0:b1][::-1])
+        at = b0 + int(np.argmax(head + tail[::-1]))
+        work += [(a0, mid, b0, at), (mid, a1, at, b1)]
+    return sorted(out)
+
+
+def _common_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequence of ``a`` and every prefix of ``b``."""
+    row = np.zeros(len(b) + 1, dtype=np.int64)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs that rises on both sides; ``pairs`` rise on the second."""
     tops: list[int] = []
