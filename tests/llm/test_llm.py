@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -376,6 +377,43 @@ def test_line_dedup(spark, edges, empty):
     assert line_dedup.op8(empty).count() == 0
 
 
+def brute_lines(spark, docs):
+    """Places deleted in each document (ids and texts are distinct), over all pairs."""
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").select("doc_id", line_dedup.line_hashes())
+    lines = {r[0]: r[1] for r in frame.collect()}
+    holders = Counter(x for found in lines.values() for x in set(found))
+    orders = {}
+    for d, found in lines.items():
+        text = dict(docs)[d].split("\n")
+        known = [i for i, x in enumerate(found) if holders[x] > 1 or not text[i].strip(" ")]
+        orders[d] = line_dedup.order_of(found, known)
+    out = {}
+    for d, (tokens, places) in orders.items():
+        gone = {i for e in orders if e < d for i in line_dedup.found_in(orders[e][0], tokens)}
+        out[d] = sorted(places[i] for i in gone)
+    return out
+
+
+def test_lines_are_tried_against_all_earlier_holders(spark):
+    one, two = "this is the first shared line", "here is another shared line"
+    # two orders of the lines: the third document has that of the second one, not of the earliest
+    docs = [(1, f"{one}\n{two}"), (2, f"{two}\nwords\n{one}"), (3, f"{two}\nmore\n{one}")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in line_dedup.dedup_lines(frame).collect()}
+    assert [rows[d].n_removed for d in (1, 2, 3)] == [0, 1, 2] and rows[3].text == "more"
+    rng = random.Random(3)
+    pool = [f"a shared line with number {n}" for n in range(7)] + ["short", "a few", "", " "]
+    docs = [
+        (d, "\n".join([f"only in {d}, long enough"] + [
+            rng.choice(pool) if rng.random() < 0.8 else f"{d} {n} alone" for n in range(rng.randrange(9))
+        ]))
+        for d in range(120)
+    ]
+    want = brute_lines(spark, docs)
+    rows = line_dedup.deletions(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.least_id: r.places for r in rows} == {d: x for d, x in want.items() if x}
+
+
 # -- 9 ---------------------------------------------------------------------------------------
 
 

@@ -1,11 +1,18 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-Documents that share lines are found through line hashes, rare and frequent alike: every document is
-paired with the earliest one that has the line. A pair is aligned by patience diff (the lines unique
-to both sides and in the same order on both, extended to their neighbours, and again in between),
-and the aligned common blocks are deleted from the later document. The number of pairs is at most
-that of shared lines, also in a group of very many documents with a line in common. Equal texts are
-one class; all its documents but the earliest lose every line.
+Documents that share lines are found through line hashes, rare and frequent alike, and every pair of
+them is decided: a later document loses the common blocks that its alignment with any earlier one
+has. A pair is aligned by patience diff (the lines unique to both sides and in the same order on
+both, extended to their neighbours, and again in between; an exact longest common subsequence where
+no line is unique). Equal texts are one class; all its documents but the earliest lose every line.
+
+Not every pair has to be aligned for that. Lines that no other class has align with nothing, so a
+class is reduced to its order: its stretches of shared lines that can be a block, with breaks
+between. Classes of one order are folded, all but the earliest lose the whole order. Orders meet
+through units, the shortest runs of neighbouring lines that are evidence; a block consists of units
+that both sides have. The holders of a unit are ranked, and in rounds of growing reach each unit
+with a place that is not yet deleted meets the next earlier holders, until all its places are
+deleted or all earlier holders are tried.
 
 A line counts as evidence with at least ``LEAST_CHARS`` code points without outer blanks; a block is
 deleted if it has such a line. Lines are compared without outer blanks. Documents are ordered by
@@ -20,11 +27,11 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, text_or_empty
@@ -114,20 +121,77 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def common_blocks(a: Sequence[int], b: Sequence[int]) -> list[int]:
-    """Places in ``b`` of the aligned blocks that have a line of evidence (an odd hash)."""
+def weight(line: int) -> int:
+    """What a line adds to the evidence of its block; a block needs ``LEAST_CHARS``."""
+    return LEAST_CHARS * (line & 1)
+
+
+def common_blocks(a: Sequence[int], b: Sequence[int], weight: Callable[[int], int] = weight) -> list[int]:
+    """Places in ``b`` of the aligned blocks that have evidence."""
     pairs = aligned(a, b)
     out: list[int] = []
     start = 0
     for n in range(1, len(pairs) + 1):
         if n == len(pairs) or pairs[n] != (pairs[n - 1][0] + 1, pairs[n - 1][1] + 1):
             block = [j for _, j in pairs[start:n]]
-            if any(b[j] & 1 for j in block):
+            if sum(weight(b[j]) for j in block) >= LEAST_CHARS:
                 out += block
             start = n
     return out
 
 
+#: Stands between the stretches of an order and equals no line; ``found_in`` makes it differ by side.
+BREAK = 0
+
+
+def order_of(lines: Sequence[int], shared: Iterable[int]) -> tuple[list[int], list[int]]:
+    """The stretches of shared lines with evidence, breaks between, and their places in ``lines``."""
+    tokens: list[int] = []
+    places: list[int] = []
+    known = sorted(shared)
+    start = 0
+    for n in range(1, len(known) + 1):
+        if n == len(known) or known[n] != known[n - 1] + 1:
+            stretch = known[start:n]
+            if sum(weight(lines[i]) for i in stretch) >= LEAST_CHARS:
+                if tokens:
+                    tokens.append(BREAK)
+                    places.append(-1)
+                tokens += [lines[i] for i in stretch]
+                places += stretch
+            start = n
+    return tokens, places
+
+
+def units(tokens: Sequence[int]) -> dict[int, list[tuple[int, int]]]:
+    """Hash -> runs (start, end): from each line on and up to each line, the shortest run with
+    evidence. The units inside a block cover it."""
+    runs = set()
+    for step in (1, -1):
+        line_at = range(len(tokens)) if step == 1 else range(len(tokens) - 1, -1, -1)
+        sums, reach = 0, line_at[0] if tokens else 0
+        for first in line_at:
+            # the run goes from first up to, not including, reach
+            while sums < LEAST_CHARS and 0 <= reach < len(tokens) and tokens[reach] != BREAK:
+                sums += weight(tokens[reach])
+                reach += step
+            if sums >= LEAST_CHARS:
+                runs.add((first, reach) if step == 1 else (reach + 1, first + 1))
+            if reach != first:
+                sums -= weight(tokens[first])
+            else:
+                reach += step
+    out: dict[int, list[tuple[int, int]]] = {}
+    for start, end in sorted(runs):
+        out.setdefault(hash(tuple(tokens[start:end])), []).append((start, end))
+    return out
+
+
+def found_in(a: Sequence[int], b: Sequence[int]) -> list[int]:
+    """Places of order ``b`` to delete for order ``a``."""
+    return common_blocks(a, [-1 if x == BREAK else x for x in b])
+
+
 def text_key(text: str = "text") -> Column:
     return F.unhex(F.md5(F.col(text).cast("binary")))
 
@@ -145,6 +209,134 @@ def line_hashes() -> Column:
     )
 
 
+def orders_of(classes: DataFrame) -> DataFrame:
+    """key, least_id, tokens, places, order (a hash of the tokens); only classes that share a block."""
+    # empty lines are shared by nearly all; they need no search
+    blank = F.xxhash64(F.lit("")).bitwiseAND(F.lit(-2))
+    each = classes.select("key", F.posexplode("lines").alias("at", "line")).where(F.col("line") != blank)
+    shared = (
+        classes.select(F.explode(F.array_distinct("lines")).alias("line")).where(F.col("line") != blank)
+        .groupBy("line").count().where("count > 1").select("line")
+    )
+    marked = each.join(shared, "line").groupBy("key").agg(F.collect_list("at").alias("known"))
+    empty = F.filter(
+        F.transform("lines", lambda x, i: F.when(x == blank, i).otherwise(F.lit(-1))), lambda i: i >= 0
+    )
+    both = classes.join(marked, "key").select("key", "least_id", "lines", F.concat("known", empty).alias("known"))
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids, lines, known = (c.to_pylist() for c in batch.columns)
+            found = [order_of(x, y) for x, y in zip(lines, known)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.binary()), pa.array(ids, pa.int64()),
+                    pa.array([x for x, _ in found], pa.list_(pa.int64())),
+                    pa.array([x for _, x in found], pa.list_(pa.int32())),
+                ],
+                names=["key", "least_id", "tokens", "places"],
+            )
+
+    return (
+        both.mapInArrow(reduce, "key binary, least_id bigint, tokens array<bigint>, places array<int>")
+        .where(F.size("tokens") > 0)
+        .withColumn("order", F.unhex(F.md5(F.array_join(F.col("tokens").cast("array<string>"), ",").cast("binary"))))
+    )
+
+
+def ranked_units(orders: DataFrame) -> DataFrame:
+    """unit, order, rank (among the orders that have the unit, by place); only units of several."""
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for order, at, tokens in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                found = list(units(tokens))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), pa.array([order.as_py()] * len(found), pa.binary()),
+                     pa.array([at.as_py()] * len(found), at.type)],
+                    names=["unit", "order", "place"],
+                )
+
+    held = orders.select("order", "place", "tokens").mapInArrow(
+        cover, "unit bigint, order binary, place struct<least_id:bigint,key:binary>"
+    )
+    # sorted over all tasks and counted by task: a unit with very many holders is spread
+    row = cut(
+        held.repartitionByRange("unit", "place").sortWithinPartitions("unit", "place")
+        .select("unit", "order", F.monotonically_increasing_id().alias("row"))
+        .withColumn("part", F.shiftright("row", 33)),
+        "units",
+    )
+    by_part = row.groupBy("unit", "part").agg(F.min("row").alias("least"), F.count("*").alias("n"))
+    whole = Window.partitionBy("unit")
+    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    by_part = by_part.select(
+        "unit", "part", "least", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.sum("n").over(whole).alias("all"),
+    ).where(F.col("all") > 1)
+    return row.join(by_part, ["unit", "part"]).select(
+        "unit", "order", (F.col("before") + F.col("row") - F.col("least")).alias("rank")
+    )
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units of an order with a place that is not deleted."""
+    for batch in batches:
+        for order, tokens, gone in zip(*(c.to_pylist() for c in batch.columns)):
+            done = set(gone or ())
+            left = [u for u, runs in units(tokens).items() if any(i not in done for r in runs for i in range(*r))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.int64()), pa.array([order] * len(left), pa.binary())], names=["unit", "order"]
+            )
+
+
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        orders, left, right = (c.to_pylist() for c in batch.columns)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(orders, pa.binary()),
+             pa.array([found_in(a, b) for a, b in zip(left, right)], pa.list_(pa.int32()))],
+            names=["order", "gone"],
+        )
+
+
+#: Each round tries so many times the holders of all rounds before.
+REACH = 8
+
+
+def deleted_tokens(orders: DataFrame) -> DataFrame:
+    """order, gone (places in its tokens that some earlier order has in an aligned block)."""
+    ranked = cut(ranked_units(orders), "ranked")
+    last = ranked.agg(F.max("rank")).first()[0] or 0
+    known = orders.select("order", "tokens")
+    done = orders.sparkSession.createDataFrame([], "order binary, gone array<int>")
+    low, high = 0, 1
+    while low < last:
+        later = ranked.where(F.col("rank") > low)
+        if low:
+            left = known.join(done, "order", "left").select("order", "tokens", "gone")
+            later = later.join(left.mapInArrow(_open, "unit bigint, order binary"), ["unit", "order"])
+        reach = F.sequence(F.lit(low).cast("bigint"), F.least(F.col("rank"), F.lit(high).cast("bigint")) - 1)
+        wanted = later.select("unit", F.col("order").alias("b"), F.explode(reach).alias("rank"))
+        pairs = cut(
+            wanted.join(ranked.withColumnRenamed("order", "a"), ["unit", "rank"]).select("a", "b").distinct(), "pairs"
+        )
+        if pairs.isEmpty():
+            break
+        both = (
+            pairs.join(known.toDF("b", "tokens_b"), "b").join(known.toDF("a", "tokens_a"), "a")
+            .select("b", "tokens_a", "tokens_b")
+        )
+        found = both.mapInArrow(_align, "order binary, gone array<int>").unionByName(done)
+        done = cut(
+            found.select("order", F.explode("gone").alias("at")).groupBy("order")
+            .agg(F.collect_set("at").alias("gone")),
+            "gone",
+        )
+        low, high = high, high * REACH
+    return done
+
+
 def deletions(docs: DataFrame) -> DataFrame:
     """key (of a text), least_id, copies, places (of deleted lines in its earliest document); only
     texts with something to delete."""
@@ -161,34 +353,21 @@ def deletions(docs: DataFrame) -> DataFrame:
         .select("key", "least_id", "copies", "lines"),
         "classes",
     )
-    place = F.struct(F.col("least_id"), F.col("key"))
-    evidence = classes.select(
-        place.alias("place"), F.explode(F.array_distinct(F.filter("lines", lambda h: h % 2 != 0))).alias("line")
+    reduced = cut(orders_of(classes), "reduced")
+    place = F.struct("least_id", "key").alias("place")
+    # the tokens are those of the earliest class
+    orders = cut(
+        reduced.groupBy("order").agg(F.min(place).alias("place"), F.first("tokens").alias("tokens")), "orders"
     )
-    first = evidence.groupBy("line").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
-    pairs = (
-        evidence.join(first, "line").where(F.col("first") != F.col("place"))
-        .select(F.col("first.key").alias("a"), F.col("place.key").alias("b")).distinct()
-    )
-    known = classes.select("key", "lines")
-    both = (
-        pairs.join(known.toDF("b", "lines_b"), "b").join(known.toDF("a", "lines_a"), "a")
-        .select("b", "lines_a", "lines_b")
-    )
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, left, right = (c.to_pylist() for c in batch.columns)
-            found = [common_blocks(a, b) for a, b in zip(left, right)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int32()))], names=["key", "places"]
-            )
-
-    places = (
-        both.mapInArrow(align, "key binary, places array<int>")
-        .select("key", F.explode("places").alias("at")).groupBy("key")
-        .agg(F.array_sort(F.collect_set("at")).alias("places"))
-    )
+    gone = orders.select("order", F.col("place.key").alias("known")).join(deleted_tokens(orders), "order", "left")
+    kept = F.coalesce("gone", F.array().cast("array<int>"))
+    places = reduced.select("key", "order", "places").join(gone, "order").select(
+        "key",
+        F.array_sort(
+            F.when(F.col("known") == F.col("key"), F.transform(kept, lambda i: F.get("places", i)))
+            .otherwise(F.filter("places", lambda i: i >= 0))
+        ).alias("places"),
+    ).where(F.size("places") > 0)
     return (
         classes.drop("lines").join(places, "key", "left")
         .where((F.col("copies") > 1) | F.col("places").isNotNull())
