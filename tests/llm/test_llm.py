@@ -243,6 +243,46 @@ def test_licenses(spark, edges, empty):
     assert license_scan.op4(empty).count() == 0
 
 
+def test_every_licence_rule_has_a_text_that_matches(spark):
+    known, sequences = license_scan.sentence_rules(spark)
+    texts = dict(license_scan.SENTENCES)
+    docs = [
+        (n, "\n\n".join(texts[x].replace("{v}", "3.0") for x in rule)) for n, (_, rule) in enumerate(license_scan.RULES)
+    ]
+    rows = license_scan.op4(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    want = {n: name.replace("{v}", "3.0") for n, (name, _) in enumerate(license_scan.RULES)}
+    assert {r.doc_id: r.licenses for r in rows} == want and all(r.unmatched == "" for r in rows)
+
+
+def test_standard_licence_notices(spark):
+    notice = """# This {what} is free software{sign} you can redistribute it and/or modify
+# it under the terms of the GNU {kind} Public License as published by
+# the Free Software Foundation{second} either version {v} of the License, or
+# (at your option) any later version.
+#
+# This {what} is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU {kind} Public License for more details.
+"""
+    def text(kind, v, what="program", sign=":", second=","):
+        return "#!/bin/sh\n" + notice.format(kind=kind, v=v, what=what, sign=sign, second=second)
+
+    docs = [
+        (1, text("General", 3)), (2, text("General", 2, sign=";", second=";")),
+        (3, text("Affero General", 3)), (4, text("Lesser General", 2.1, "library", ";", ";")),
+        (5, "// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR mit\nint x"),
+        (6, "/* SPDX-License-Identifier: GPL-2.0+ */ <!-- SPDX-License-Identifier: Foo-1.0-->"),
+        (7, "some words here\nLicensed under the Apache License,\nVersion 2.0\nand more words"),
+    ]
+    rows = license_scan.op4(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.licenses, r.unmatched) for r in rows} == {
+        1: ("GPL-3-or-later", ""), 2: ("GPL-2-or-later", ""), 3: ("AGPL-3-or-later", ""),
+        4: ("LGPL-2.1-or-later", ""), 5: ("GPL-2.0-only,MIT", ""), 6: ("GPL-2.0+", "spdx-foo-1.0"),
+        7: ("Apache-2.0", ""),
+    }
+
+
 # -- 6 ---------------------------------------------------------------------------------------
 
 
