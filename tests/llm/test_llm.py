@@ -454,6 +454,14 @@ def test_lines_are_tried_against_all_earlier_holders(spark):
     assert {r.least_id: r.places for r in rows} == {d: x for d, x in want.items() if x}
 
 
+def test_blocks_of_short_lines(spark):
+    verse = "roses are red\nviolets blue\nsugar"
+    docs = [(1, f"{verse}\none"), (2, f"two\r\n{verse}\r\nthree"), (3, "four\nroses are red\nfive")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert rows == {1: docs[0][1], 2: "two\r\nthree", 3: docs[2][1]}
+
+
 # -- 9 ---------------------------------------------------------------------------------------
 
 

@@ -14,8 +14,9 @@ that both sides have. The holders of a unit are ranked, and in rounds of growing
 with a place that is not yet deleted meets the next earlier holders, until all its places are
 deleted or all earlier holders are tried.
 
-A line counts as evidence with at least ``LEAST_CHARS`` code points without outer blanks; a block is
-deleted if it has such a line. Lines are compared without outer blanks. Documents are ordered by
+A block is evidence, and deleted, if its lines have at least ``LEAST_CHARS`` code points together; a
+single short line between other lines is kept, however many documents have it. Lines are compared
+and counted without outer blanks, tabs and carriage returns. Documents are ordered by
 doc_id (null first), classes with the same least id by hash of the text. Alignment is judged on
 the input: a deletion hides nothing from other pairs.
 
@@ -123,11 +124,15 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def weight(line: int) -> int:
     """What a line adds to the evidence of its block; a block needs ``LEAST_CHARS``."""
+    return line & 31
+
+
+def odd(line: int) -> int:
     return LEAST_CHARS * (line & 1)
 
 
-def common_blocks(a: Sequence[int], b: Sequence[int], weight: Callable[[int], int] = weight) -> list[int]:
-    """Places in ``b`` of the aligned blocks that have evidence."""
+def common_blocks(a: Sequence[int], b: Sequence[int], weight: Callable[[int], int] = odd) -> list[int]:
+    """Places in ``b`` of the aligned blocks that have evidence; without ``weight`` an odd hash is."""
     pairs = aligned(a, b)
     out: list[int] = []
     start = 0
@@ -189,7 +194,7 @@ def units(tokens: Sequence[int]) -> dict[int, list[tuple[int, int]]]:
 
 def found_in(a: Sequence[int], b: Sequence[int]) -> list[int]:
     """Places of order ``b`` to delete for order ``a``."""
-    return common_blocks(a, [-1 if x == BREAK else x for x in b])
+    return common_blocks(a, [-1 if x == BREAK else x for x in b], weight)
 
 
 def text_key(text: str = "text") -> Column:
@@ -197,12 +202,12 @@ def text_key(text: str = "text") -> Column:
 
 
 def line_hashes() -> Column:
-    """Hashes of the lines; odd for lines of evidence, even for short ones."""
+    """Hashes of the lines; the low five bits are the code points, up to ``LEAST_CHARS``."""
 
     def one(line: Column) -> Column:
-        bare = F.trim(line)
-        even = F.xxhash64(bare).bitwiseAND(F.lit(-2))
-        return F.when(F.length(bare) >= LEAST_CHARS, even.bitwiseOR(F.lit(1))).otherwise(even)
+        bare = F.btrim(line, F.lit(" \t\r"))
+        chars = F.least(F.length(bare), F.lit(LEAST_CHARS)).cast("bigint")
+        return F.xxhash64(bare).bitwiseAND(F.lit(-32)).bitwiseOR(chars)
 
     return F.when(F.col("text") == "", F.array().cast("array<bigint>")).otherwise(
         F.transform(F.split("text", "\n"), one)
@@ -212,7 +217,7 @@ def line_hashes() -> Column:
 def orders_of(classes: DataFrame) -> DataFrame:
     """key, least_id, tokens, places, order (a hash of the tokens); only classes that share a block."""
     # empty lines are shared by nearly all; they need no search
-    blank = F.xxhash64(F.lit("")).bitwiseAND(F.lit(-2))
+    blank = F.xxhash64(F.lit("")).bitwiseAND(F.lit(-32))
     each = classes.select("key", F.posexplode("lines").alias("at", "line")).where(F.col("line") != blank)
     shared = (
         classes.select(F.explode(F.array_distinct("lines")).alias("line")).where(F.col("line") != blank)
