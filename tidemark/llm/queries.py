@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontaminate,
+    fill_in_middle,
     language_id,
     license_scan,
     line_dedup,
@@ -86,3 +87,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.op12(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_fill_in_middle"] = fill_in_middle.ORACLE
