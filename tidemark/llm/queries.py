@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontaminate,
     fill_in_middle,
+    filter_audit,
     language_id,
     license_scan,
     line_dedup,
@@ -89,6 +90,14 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.op11(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = filter_audit.ORACLE
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.op12(table(spark, sf_dir, "documents"))
