@@ -82,7 +82,7 @@ def test_trie_keeps_least_ids(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_equals_plain_version(spark, monkeypatch, seed):
+def test_equals_plain_version(spark, seed):
     rng = random.Random(seed)
     pool = ["w%d " % rng.randrange(9) * rng.choice([1, 30, 220]) for _ in range(6)]
     pool += [" ".join(f"v{i}" for i in range(220)) + end for end in ("", " #", " A" * 99, " a")]
@@ -90,8 +90,7 @@ def test_equals_plain_version(spark, monkeypatch, seed):
     rows = [(rng.choice([None, *range(60)]), rng.choice(["s", "t", None, ""]), rng.choice(pool)) for _ in range(150)]
     rows += [(7, "s", pool[0])] * 40 + [(1000 + i, "hot", pool[6]) for i in range(80)]
     labels = [(rng.choice([None, *range(70)]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(80)]
-    monkeypatch.setattr(filter_audit, "LOCAL_BYTES", 3000)
-    assert got(spark, rows, labels, range_bytes=20_000) == plain(rows, labels)
+    assert got(spark, rows, labels, range_bytes=20_000, local_bytes=3000) == plain(rows, labels)
 
 
 def test_heavy_prefixes_get_longer_keys(spark):

@@ -98,7 +98,9 @@ def own_mask(data: bytes, filters: Filters = Filters()) -> int:
 _ROW = "doc_id {id}, part string, mask int, n bigint"
 
 
-def _local(batches: Iterator[pa.RecordBatch], filters: Filters, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _local(
+    batches: Iterator[pa.RecordBatch], filters: Filters, kind: pa.DataType, local_bytes: int
+) -> Iterator[pa.RecordBatch]:
     """Masks of a task's rows; the text stays with rows that a smaller id elsewhere may still flag."""
     trie, rows = TextTrie(), []
     known: dict[Node, tuple[bytes, int]] = {}  # text and mask of a terminal, once for all copies
@@ -132,7 +134,7 @@ def _local(batches: Iterator[pa.RecordBatch], filters: Filters, kind: pa.DataTyp
             if terminal not in known:
                 known[terminal] = text, own_mask(text, filters)
             rows.append((key, part, terminal))
-            if trie.held + 64 * len(rows) >= LOCAL_BYTES:
+            if trie.held + 64 * len(rows) >= local_bytes:
                 yield settle()
                 trie, rows = TextTrie(), []
                 known.clear()
@@ -183,7 +185,9 @@ def with_key(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame
     return keyed.select(*rows.columns, key.alias("key")), ranges
 
 
-def flags(docs: DataFrame, filters: Filters = Filters(), range_bytes: int = RANGE_BYTES) -> DataFrame:
+def flags(
+    docs: DataFrame, filters: Filters = Filters(), range_bytes: int = RANGE_BYTES, local_bytes: int = LOCAL_BYTES
+) -> DataFrame:
     """(doc_id, part, mask, n): the filters that documents fail, bit 0 for A to bit 4 for E; ``n`` rows
     each. Other than by ``n``, rows are not merged."""
     row = _ROW.format(id=docs.schema["doc_id"].dataType.simpleString())
@@ -200,7 +204,7 @@ def flags(docs: DataFrame, filters: Filters = Filters(), range_bytes: int = RANG
                 yield first
                 yield from batches
 
-            yield from _local(every(), filters, kind)
+            yield from _local(every(), filters, kind, local_bytes)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next(batches, None)
