@@ -13,6 +13,7 @@ from tidemark.llm import (
     language_id,
     license_scan,
     line_dedup,
+    lm_score,
     ngram_join,
     sentencepiece_codec,
     simhash,
@@ -104,3 +105,8 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_fill_in_middle"] = fill_in_middle.ORACLE
+
+
+@query
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.op13(table(spark, sf_dir, "documents"))
