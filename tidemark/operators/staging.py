@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,3 +103,36 @@ def part_count(rows: Column, per_part: int) -> Column:
 def part_of(key: Column, parts: Column) -> Column:
     """Which of ``parts`` equal shares a row belongs to."""
     return F.pmod(F.xxhash64(key), parts.cast("bigint")).cast("int")
+
+
+def add_blocks(partial: DataFrame) -> DataFrame:
+    """Sums by (key, block) of rows (key, block, rows, sums), element by element.
+
+    Every task of the source gives a row for each key and block; they are added as they arrive, so
+    a task holds one sum for each of its blocks, however many rows there are.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "block", "rows"))
+            lists = batch.column("sums")
+            for at, (key, block, rows) in enumerate(zip(*columns)):
+                part = lists[at].values.to_numpy(zero_copy_only=False)
+                if (key, block) in held:
+                    held[key, block][0] += rows
+                    held[key, block][1] += part
+                else:
+                    held[key, block] = [rows, part.copy()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([key for key, _ in held], pa.int32()),
+                pa.array([block for _, block in held], pa.int32()),
+                pa.array([rows for rows, _ in held.values()], pa.int64()),
+                pa.array([total for _, total in held.values()], pa.list_(pa.float64())),
+            ],
+            ["key", "block", "rows", "sums"],
+        )
+
+    shape = "key int, block int, rows bigint, sums array<double>"
+    return partial.repartition("key", "block").mapInArrow(add, shape)
