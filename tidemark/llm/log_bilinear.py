@@ -24,9 +24,9 @@ class Plan:
     """Sizes and steps of training. ``rounds`` passes over all training tokens; after each the
     networks of all tasks are averaged."""
 
-    width: int = 24
-    noise: int = 48
-    batch: int = 8192
+    width: int = 16
+    noise: int = 128
+    batch: int = 2048
     rate: float = 0.08
     rounds: int = 2
     seed: int = 7
