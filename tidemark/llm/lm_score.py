@@ -5,10 +5,10 @@ documents that are not held out: the count of every token, and a network (``log_
 predicts the class of a token from the classes of the two tokens before it.
 
 * **Counts** cover every token of every training document, however many different ones there are, and
-  stay a table. The ``HEAD`` most frequent tokens (of the training documents, and of all documents) are
-  known to every worker; a token of at most ``LONGEST`` bytes each, longer ones by a 256-bit digest. The
-  counts of all other tokens reach the documents by an ordinary join. Such a token is rarer than ``HEAD``
-  others, so no key of that join is hot.
+  stay a table. The most frequent tokens (of the training documents, and of all documents; just under
+  ``HEAD`` of each, by a threshold on the counts) are known to every worker; a token of at most ``LONGEST``
+  bytes each, longer ones by a 252-bit digest. The counts of all other tokens reach the documents by an
+  ordinary join. Such a token is rarer than about ``HEAD`` others, so no key of that join is hot.
 * **Classes** are the ``SINGLE`` most frequent training tokens one by one, the rest of the head in
   classes of neighbouring ranks and about equal mass, and one class for all other tokens, known or
   not. Within a class a token has its share of the class's add-one mass, (c+1) / sum of (c+1); all
@@ -74,43 +74,65 @@ def tokens(piece: bytes) -> list[bytes]:
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(token, c, every): occurrences in training documents and in all. docs: text, held_out."""
 
-    def rows(c: Counter, every: Counter) -> pa.RecordBatch:
-        names = list(every)
+    def rows(found: Counter, learn: bool) -> pa.RecordBatch:
+        every = pa.array(found.values(), pa.int64())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(names, pa.binary()).cast(pa.string()),
-                pa.array([c[w] for w in names], pa.int64()),
-                pa.array([every[w] for w in names], pa.int64()),
+                pa.array(found.keys(), pa.binary()).cast(pa.string()),
+                every if learn else pa.array(np.zeros(len(found), np.int64)),
+                every,
             ],
             ["token", "c", "every"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, rest = Counter(), Counter()
+        counters = {True: Counter(), False: Counter()}
         for batch in batches:
             for text, out in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["held_out"].to_pylist()):
-                into = rest if out else c
+                into = counters[not out]
                 into[END.encode()] += 1
                 for piece in pieces(text):
                     into.update(tokens(piece))
-                if len(c) + len(rest) > COUNTED:
-                    yield rows(c, c + rest)
-                    c, rest = Counter(), Counter()
-        yield rows(c, c + rest)
+                if sum(map(len, counters.values())) > COUNTED:
+                    for learn, found in counters.items():
+                        yield rows(found, learn)
+                        found.clear()
+        for learn, found in counters.items():
+            yield rows(found, learn)
 
     counted = docs.select("text", "held_out").mapInArrow(run, "token string, c bigint, every bigint")
     return counted.groupBy("token").agg(F.sum("c").alias("c"), F.sum("every").alias("every"))
 
 
+def _size(count: str) -> Column:
+    """Which of some 64 steps to each doubling a count has reached; -1 for none."""
+    return F.when(F.col(count) > 0, F.floor(F.log2(count) * 64)).otherwise(F.lit(-1))
+
+
+def _least(counts: DataFrame, count: str, head: int) -> int:
+    """The smallest step that at most ``head`` tokens have reached. A few thousand steps at most."""
+    steps = counts.where(F.col(count) > 0).groupBy(_size(count).alias("step")).agg(F.count("*").alias("n")).collect()
+    above = 0
+    least = max((r.step for r in steps), default=0) + 1
+    for row in sorted(steps, key=lambda r: -r.step):
+        above += row.n
+        if above > head:
+            break
+        least = row.step
+    return least
+
+
 class Head:
     """The tokens that every worker knows: their counts and classes."""
 
     def __init__(self, counts: DataFrame, head: int = HEAD, single: int = SINGLE, classes: int = CLASSES):
         self.n, self.v = (int(x or 0) for x in counts.where("c > 0").agg(F.sum("c"), F.count("*")).first())
-        learned = counts.where("c > 0").orderBy(F.desc("c"), "token").limit(head).collect()
-        frequent = counts.orderBy(F.desc("every"), "token").limit(head).collect()
-        names = {r.token for r in learned}
-        others = [r for r in frequent if r.token not in names]
+        least = {name: _least(counts, name, head) for name in ("c", "every")}
+        found = counts.where((_size("c") >= least["c"]) | (_size("every") >= least["every"]))
+        # fewer than 2 * head rows of at most LONGEST bytes each
+        known = sorted(found.withColumn("learned", _size("c") >= least["c"]).collect(), key=lambda r: (-r.c, r.token))
+        learned = [r for r in known if r.learned]
+        others = [r for r in known if not r.learned]
         self.names = [r.token.encode() for r in [*learned, *others]]
         self.counts = np.array([r.c for r in [*learned, *others]], dtype=np.int64)
         ranked = len(learned)

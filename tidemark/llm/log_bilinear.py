@@ -28,7 +28,7 @@ class Plan:
     noise: int = 128
     batch: int = 2048
     rate: float = 0.08
-    rounds: int = 2
+    rounds: int = 1
     seed: int = 7
 
 
@@ -63,8 +63,12 @@ def unpack(flat: np.ndarray, classes: int, width: int) -> dict[str, np.ndarray]:
     return net
 
 
-def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _logistic(minus: np.ndarray) -> np.ndarray:
+    """The logistic function of the negative of ``minus``, in its place."""
+    with np.errstate(over="ignore"):  # the limit is right
+        np.exp(minus, out=minus)
+    minus += 1
+    return np.reciprocal(minus, out=minus)
 
 
 def _added(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
@@ -100,13 +104,15 @@ class Trainer:
         drawn = np.searchsorted(self.upto, self.rng.random(self.plan.noise)).clip(max=len(b) - 1)
         before1, before2, aim, noise = R[first], R[second], Q[target], Q[drawn]
         q = before1 @ C1 + before2 @ C2
-        own = 1 - _logistic(np.einsum("ij,ij->i", q, aim) + b[target] - self.log_noise[target])
-        other = -_logistic(q @ noise.T + (b[drawn] - self.log_noise[drawn]))
-        dq = own[:, None] * aim + other @ noise
+        own = _logistic(np.einsum("ij,ij->i", q, aim) + b[target] - self.log_noise[target])  # 1 - its chance
+        other = q @ -noise.T
+        other -= b[drawn] - self.log_noise[drawn]
+        other = _logistic(other)
+        dq = own[:, None] * aim - other @ noise
         grad_q = _added(target, own[:, None] * q, len(Q))
-        np.add.at(grad_q, drawn, other.T @ q)
+        np.subtract.at(grad_q, drawn, other.T @ q)
         grad_b = np.bincount(target, own, len(b)).astype(np.float32)
-        np.add.at(grad_b, drawn, other.sum(0))
+        np.subtract.at(grad_b, drawn, other.sum(0))
         places = np.concatenate([first, second])
         grads = {
             "R": _added(places, np.concatenate([dq @ C1.T, dq @ C2.T]), len(R)),
