@@ -405,6 +405,32 @@ def drift_mmd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.mmd_test(*baseline_and_current(spark, sf_dir)).drop("p_value")
 
 
+@query
+def drift_mmd_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.mmd_full_test(*baseline_and_current(spark, sf_dir)).drop("p_value")
+
+
+@query
+def drift_ks_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drift.ks_sketch_by_dimension(*baseline_and_current(spark, sf_dir))
+    return found.select(
+        F.col("dim").cast("bigint").alias("dim"),
+        "n1",
+        "n2",
+        F.round("statistic", 6).alias("statistic"),
+        F.round("error", 6).alias("error"),
+    )
+
+
+@query
+def drift_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline is too small for its guard, so no test is made."""
+    baseline, current = baseline_and_current(spark, sf_dir)
+    least = baseline.count() + 1
+    found = drift.detect_drift(baseline, current, DriftParams(min_samples=least))
+    return found.select("test_name", "statistic", "p_value", "threshold", "is_drifted")
+
+
 @query
 def drift_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     baseline, current = baseline_and_current(spark, sf_dir)

@@ -376,6 +376,34 @@ SELECT 'mmd' AS test_name, round(m, 6) AS statistic, 0.1::DOUBLE AS threshold, m
   (SELECT count(*) FROM mv WHERE b) AS baseline_samples,
   (SELECT count(*) FROM mv WHERE NOT b) AS current_samples FROM mk"""
 
+ORACLES["drift_mmd_full"] = f"""
+WITH {_MMD},
+fv AS (SELECT label < 5 AS b, embedding::DOUBLE[] AS e FROM embeddings),
+fd AS (SELECT i, j, md5('0:' || i || ':' || j) AS m
+  FROM range(1024) AS a(i), range((SELECT max(len(e)) FROM fv)) AS c(j)),
+fw AS (SELECT i, list(sqrt(-2 * ln((('0x' || m[1:8])::BIGINT + 1) / 4294967296::DOUBLE))
+    * cos(2 * pi() * ('0x' || m[9:16])::BIGINT / 4294967296::DOUBLE) * sqrt(2 * gamma) ORDER BY j) AS w
+  FROM fd, mg GROUP BY i),
+fa AS (SELECT b, i, list_dot_product(e, w) AS a FROM fv, fw),
+fm AS (SELECT i, avg(cos(a)) FILTER (b) - avg(cos(a)) FILTER (NOT b) AS c,
+  avg(sin(a)) FILTER (b) - avg(sin(a)) FILTER (NOT b) AS s FROM fa GROUP BY i),
+ft AS (SELECT avg(c * c + s * s) AS m, stddev_samp(c * c + s * s) AS sd, ln(4 / 0.05::DOUBLE) AS l FROM fm)
+SELECT 'mmd_full' AS test_name, round(m, 6) AS statistic, 0.1::DOUBLE AS threshold, m > 0.1 AS is_drifted,
+  round((SELECT gamma FROM mg), 6) AS gamma, round(sd / sqrt(1024), 6) AS error,
+  round(least(4 * sqrt(l / 2048), sd * sqrt(2 * l / 1024) + 28 * l / 3069), 6) AS bound,
+  1024::BIGINT AS frequencies, (SELECT count(*) FROM fv WHERE b) AS baseline_samples,
+  (SELECT count(*) FROM fv WHERE NOT b) AS current_samples FROM ft"""
+
+# A sketch keeps up to k = 1000 values as they are: then only the grid of 2003 quantiles is left of its error.
+ORACLES["drift_ks_sketch"] = f"""{_ks(0.0)}
+SELECT dim::BIGINT AS dim, n1, n2, round(1 / 2003::DOUBLE, 6) AS error,
+  round(max(abs((u1 * 4006 + n1) // (2 * n1) - (u2 * 4006 + n2) // (2 * n2))) / 2003::DOUBLE, 6) AS statistic
+FROM u, t GROUP BY dim, n1, n2"""
+
+ORACLES["drift_guard"] = """
+SELECT 'none' AS test_name, 0.0::DOUBLE AS statistic, 0.0::DOUBLE AS p_value, 0.0::DOUBLE AS threshold,
+  false AS is_drifted WHERE false"""
+
 ORACLES["drift_all"] = f"""{_ks(0.0)}, {_MMD},
 kk AS ({_KS_SUMMARY}),
 cx AS (SELECT b, unnest(e)::DOUBLE AS x, generate_subscripts(e, 1) AS dim FROM v),
