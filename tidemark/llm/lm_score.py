@@ -42,13 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.log_bilinear import Plan, Scorer, Trainer, contexts, pack, start, stretches, unpack
-from tidemark.llm.shared import cut, map_batches, text_or_empty
+from tidemark.llm.shared import cut, map_batches, split_batch, text_or_empty
 from tidemark.llm.texts import pieces
 
-HEAD, LONGEST = 131_072, 64
-SINGLE, CLASSES = 1536, 2048
+HEAD, LONGEST = 65_536, 64
+SINGLE, CLASSES = 1152, 1536
 #: Different tokens that a task counts before it passes them on; values in a block of the network.
-COUNTED, BLOCK = 250_000, 16_384
+COUNTED, BLOCK = 100_000, 16_384
 
 END = ""
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -87,7 +87,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = {True: Counter(), False: Counter()}
-        for batch in batches:
+        for batch in (part for whole in batches for part in split_batch(whole, "text", 4 << 20)):
             for text, out in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["held_out"].to_pylist()):
                 into = counters[not out]
                 into[END.encode()] += 1
@@ -99,6 +99,8 @@ def count_tokens(docs: DataFrame) -> DataFrame:
                         found.clear()
         for learn, found in counters.items():
             yield rows(found, learn)
+            found.clear()
+        pa.default_memory_pool().release_unused()
 
     counted = docs.select("text", "held_out").mapInArrow(run, "token string, c bigint, every bigint")
     return counted.groupBy("token").agg(F.sum("c").alias("c"), F.sum("every").alias("every"))
@@ -196,7 +198,7 @@ def encode(docs: DataFrame, names: list[bytes]) -> DataFrame:
         )
 
     schema = f"doc_id {kind}, held_out boolean, ids array<int>, tail array<struct<token: string, n: bigint>>"
-    rows = map_batches(docs.select("doc_id", "held_out", "text"), work, schema, done=cache.clear)
+    rows = map_batches(docs.select("doc_id", "held_out", "text"), work, schema, batch_bytes=4 << 20, done=cache.clear)
     return cut(rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
 
 
@@ -317,6 +319,8 @@ def score_heads(encoded: DataFrame, head: Head, network: np.ndarray, width: int)
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score"],
             )
+        del scorer
+        pa.default_memory_pool().release_unused()  # the worker is used again, by other stages too
 
     return encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(run, _SCORED.format(id=kind))
 

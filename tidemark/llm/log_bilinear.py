@@ -135,13 +135,18 @@ class Scorer:
         self.near = (R @ C1) @ Q.T + b
         self.far = (R @ C2) @ Q.T
         top1, top2 = self.near.max(1), self.far.max(1)
-        total = np.exp(self.near - top1[:, None]) @ np.exp(self.far - top2[:, None]).T
-        # pairs whose likeliest classes differ beyond the range of a float are summed on their own
-        with np.errstate(divide="ignore"):
-            self.log_total = top1[:, None] + top2[None, :] + np.log(total)
-        for i, j in zip(*np.nonzero(total < 1e-30)):
-            both = self.near[i].astype(np.float64) + self.far[j]
-            self.log_total[i, j] = both.max() + np.log(np.exp(both - both.max()).sum())
+        far = np.exp(self.far - top2[:, None])
+        self.log_total = np.empty((len(R), len(R)), np.float32)
+        for at in range(0, len(R), 256):
+            rows = slice(at, at + 256)
+            total = np.exp(self.near[rows] - top1[rows, None]) @ far.T
+            # pairs whose likeliest classes differ beyond the range of a float are summed on their own
+            beyond = np.nonzero(total < 1e-30)
+            total[beyond] = 1
+            self.log_total[rows] = top1[rows, None] + top2[None, :] + np.log(total)
+            for i, j in zip(*beyond):
+                both = self.near[at + i].astype(np.float64) + self.far[j]
+                self.log_total[at + i, j] = both.max() + np.log(np.exp(both - both.max()).sum())
 
     def log_probs(self, first: np.ndarray, second: np.ndarray, target: np.ndarray) -> np.ndarray:
         raw = self.near[first, target] + self.far[second, target] - self.log_total[first, second]
