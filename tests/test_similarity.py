@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tidemark.operators.similarity import knn_join, radius_counts, similarity_join
+from tidemark.operators import block_pairs, nearest, similarity
+from tidemark.operators.nearest import knn_join
+from tidemark.operators.similarity import radius_counts, similarity_join
 
 
 def clustered(seed: int, n: int = 300, width: int = 8) -> np.ndarray:
@@ -104,3 +106,100 @@ def test_empty_inputs(vectors):
     none = vectors(clustered(1, 20)).limit(0)
     assert similarity_join(none, threshold=0.5).count() == 0
     assert radius_counts(none, 0.5).count() == 0
+
+
+# -- blocks, bounds and schedules ------------------------------------------------------------
+
+
+def stored(frame, **layout):
+    rows = frame.selectExpr("doc_id AS id", "embedding AS vec", "xxhash64(doc_id) AS h")
+    return block_pairs.pack(rows, **layout)
+
+
+def tight_clusters(seed: int, clusters: int, each: int = 40, width: int = 16) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(clusters, width))
+    return (np.repeat(centers, each, axis=0) + 0.02 * rng.normal(size=(clusters * each, width))).astype(np.float32)
+
+
+def test_blocks_hold_every_row_once_and_keep_their_spread(vectors):
+    rows = np.vstack([clustered(9, 400), np.tile(clustered(9, 1), (300, 1))])
+    packed = stored(vectors(rows), block_rows=25)
+    seen = []
+    for row in packed.frame.collect():
+        mine = np.frombuffer(row.vectors, np.float32).reshape(row.rows, -1)
+        assert [rows[int(i[1:])].tolist() for i in row.id] == mine.tolist()
+        lengths = np.linalg.norm(mine, axis=1)
+        cosine = mine[lengths > 0] @ np.array(row.center) / lengths[lengths > 0]
+        assert (np.arccos(np.clip(cosine, -1, 1)) <= row.spread + 2e-3).all()
+        assert row.rows <= 60  # about a block; equal rows are split by hash
+        seen += row.id
+    assert sorted(seen) == [f"d{i:05d}" for i in range(700)]
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.5])
+def test_schedule_leaves_out_no_pair_that_matters(vectors, monkeypatch, threshold):
+    rows, others = clustered(10), clustered(11, 120)
+    monkeypatch.setattr(block_pairs, "GROUP", 5)
+    a, b = stored(vectors(rows), block_rows=12), stored(vectors(others), block_rows=12)
+    theta = float(np.arccos(threshold))
+    home = {int(i[1:]): r.block for r in a.frame.collect() for i in r.id}
+    guest = {int(i[1:]): r.block for r in b.frame.collect() for i in r.id}
+    pairs = [tuple(r) for r in block_pairs.schedule(a, None, theta).collect()]
+    assert len(pairs) == len(set(pairs)) and all(x <= y for x, y in pairs)
+    needed = {tuple(sorted((home[i], home[j]))) for i, j in zip(*np.nonzero(cosine(rows, rows) >= threshold))}
+    assert needed <= set(pairs)
+    across = {tuple(r) for r in block_pairs.schedule(a, b, theta).collect()}
+    assert {(home[i], guest[j]) for i, j in zip(*np.nonzero(cosine(rows, others) >= threshold))} <= across
+    if threshold == 0.9:
+        assert len(across) < 0.7 * a.blocks * b.blocks
+
+
+def test_copies_grow_with_the_data_where_it_is_clustered(vectors):
+    counts = {}
+    for clusters in (10, 40):
+        packed = stored(vectors(tight_clusters(12, clusters)), block_rows=40)
+        counts[clusters] = packed.blocks, block_pairs.schedule(packed, None, float(np.arccos(0.9))).count()
+    # four times the rows: every pair of blocks would be sixteen times as many
+    assert counts[40][1] < 6 * counts[10][1]
+    assert counts[40][1] < 0.2 * counts[40][0] ** 2 / 2
+
+
+@pytest.mark.parametrize("width", [32, 96])
+def test_bound_from_some_dimensions_loses_nothing(width):
+    rng = np.random.default_rng(13)
+    scale = np.linspace(1, 0.02, width)
+    sides = []
+    for k in range(2):
+        m = (rng.normal(size=(700, width)) * scale).astype(np.float32)
+        m[:50] = m[50:100] * 2 if k else m[:50]
+        sides.append(block_pairs.Block(k, None, m, np.eye(width, dtype=np.float32)[0], np.pi))
+    sides[1].vectors[:300] = sides[0].vectors[:300] + 0.05 * rng.normal(size=(300, width)).astype(np.float32)
+    found = {(i, j) for ii, jj, _ in similarity.hits(*sides, 0.95) for i, j in zip(ii.tolist(), jj.tolist())}
+    expected = np.nonzero(cosine(sides[0].vectors, sides[1].vectors) >= 0.95)
+    assert found == set(zip(*(x.tolist() for x in expected))) and len(found) > 100
+
+
+def test_search_by_cells_visits_few_and_finds_all(vectors):
+    documents = tight_clusters(14, 30)
+    queries = np.vstack([documents[::97] + 0.01, clustered(15, 5, 16)])
+    asked = vectors(queries, "q").selectExpr("doc_id AS id", "embedding AS vec")
+    search = nearest.Search()
+    packed = nearest.packed_documents(vectors(documents), "doc_id", "embedding", block_rows=40)
+    got = nearest.cell_knn(asked, packed, 7, search).collect()
+    distance = np.round(1 - cosine(queries, documents), 9)
+    for i in range(len(queries)):
+        mine = sorted((r for r in got if r.query_id == f"q{i:05d}"), key=lambda r: r["rank"])
+        best = np.lexsort((np.arange(len(documents)), distance[i]))[:7]
+        assert [int(r.doc_id[1:]) for r in mine] == best.tolist()
+    assert search.queries == len(queries) and search.blocks == packed.blocks
+    assert 0 < search.share < 0.5 and search.visits[0] == len(queries)
+
+
+def test_search_by_cells_on_odd_inputs(vectors):
+    asked = vectors(clustered(16, 4)).selectExpr("doc_id AS id", "embedding AS vec")
+    few = nearest.packed_documents(vectors(clustered(16, 30)), "doc_id", "embedding", block_rows=7)
+    assert nearest.cell_knn(asked, few, 50).count() == 4 * 30
+    none = nearest.packed_documents(vectors(clustered(16, 30)).limit(0), "doc_id", "embedding")
+    assert nearest.cell_knn(asked, none, 3).count() == 0
+    assert nearest.cell_knn(asked.limit(0), few, 3).count() == 0

@@ -9,6 +9,7 @@ sentence made from the row's own columns is added first, on both sides alike.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,13 +19,14 @@ from tidemark import schemas
 from tidemark.functions import text, vectors
 from tidemark.functions.encoders import hashed_terms, term_vector
 from tidemark.operators import alerts, drift, quality, rag, risks
-from tidemark.operators.similarity import knn_join, similarity_join
-from tidemark.operators.staging import cut, spread
+from tidemark.operators.nearest import cell_knn, knn_join, packed_documents
+from tidemark.operators.similarity import similarity_join
+from tidemark.operators.staging import cut, scratch_folder, spread
 from tidemark.params import DriftParams, Params, QualityParams, RagParams, RiskParams
 from tidemark.plans import history, report
 from tidemark.plans.run import Findings, findings_by_family, measure
 from tidemark.sources import files
-from tidemark.sources.embeddings import embed_missing, in_window, merge_latest
+from tidemark.sources.embeddings import VectorTable, embed_missing, in_window, merge_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -486,6 +488,19 @@ def knn_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def knn_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits, found by visiting the blocks of the documents in the order of their bounds."""
+    asked = _asked(spark, sf_dir).select(F.col("query_id").alias("id"), F.col("embedding").alias("vec"))
+    cells = packed_documents(_encoded(spark, sf_dir), "doc_id", "embedding", block_rows=256)
+    return cell_knn(asked, cells, 5).select(
+        "query_id",
+        "doc_id",
+        F.round("distance", 5).alias("distance"),
+        F.col("rank").cast("bigint").alias("rank"),
+    )
+
+
 @query
 def label_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten vectors nearest to each label's mean vector."""
@@ -600,6 +615,98 @@ def embedding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings(spark, sf_dir).agg(F.count("*").alias("vectors"))
 
 
+def _stored(spark: SparkSession, **options) -> VectorTable:
+    """A new embedding table in the shared scratch folder."""
+    return VectorTable(spark, f"{scratch_folder(spark).rstrip('/')}/tidemark/table-{uuid.uuid4().hex}", **options)
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors that arrived hour by hour over ten days."""
+    hour = F.expr("make_interval(0, 0, 0, 0, int(pos % 240))")
+    return embeddings(spark, sf_dir).withColumn("ingested_at", F.lit(dt.datetime(2024, 1, 1)) + hour).drop("pos")
+
+
+@query
+def vector_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors of the table, then those of the documents in three batches, merged on the way."""
+    store = _stored(spark, compact_after=2)
+    store.put(embeddings(spark, sf_dir).select("doc_id", "embedding"))
+    encoded = _encoded(spark, sf_dir)
+    for part in range(3):
+        store.put(encoded.where(F.pmod(F.col("doc_id").cast("bigint"), F.lit(3)) == part), f"batch-{part}")
+    return store.scan().select(
+        "doc_id",
+        F.round(F.array_max("embedding").cast("double"), 4).alias("largest"),
+        F.round(F.array_min("embedding").cast("double"), 4).alias("smallest"),
+    )
+
+
+@query
+def vector_table_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _stored(spark)
+    rows = _dated(spark, sf_dir)
+    store.put(rows)
+    store.remove(rows.where("label = 3"))
+    store.compact(keep=0)
+    store.remove(rows.where("label = 7"))
+    return store.scan().select("doc_id", "label", stamp("ingested_at").alias("ingested_at"))
+
+
+@query
+def vector_table_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _stored(spark)
+    rows = _dated(spark, sf_dir)
+    store.put(rows)
+    store.clear()
+    store.put(rows.where("label < 4"))
+    return store.scan().select("doc_id", "label")
+
+
+@query
+def vector_table_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days of a table whose odd labels came again a day later."""
+    store = _stored(spark)
+    rows = _dated(spark, sf_dir)
+    store.put(rows)
+    store.put(rows.where("label % 2 = 1").withColumn("ingested_at", F.expr("ingested_at + INTERVAL 1 DAY")))
+    found = store.window(dt.datetime(2024, 1, 2, 6), dt.datetime(2024, 1, 5))
+    return found.select("doc_id", "label", stamp("ingested_at").alias("ingested_at"))
+
+
+@query
+def drift_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five days of a table against the first five."""
+    store = _stored(spark)
+    store.put(_dated(spark, sf_dir))
+    first = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 5, 23, 59)
+    last = dt.datetime(2024, 1, 6), dt.datetime(2024, 1, 10, 23, 59)
+    found = drift.window_drift(store, first, last, tests=(drift.centroid_test,))
+    return found.select("test_name", "statistic", "threshold", "is_drifted")
+
+
+@query
+def retrieved_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits with content, source and metadata out of an embedding table."""
+    store = _stored(spark)
+    described = documents(spark, sf_dir).select(
+        "doc_id",
+        "content",
+        F.create_map(F.lit("source_path"), "source", F.lit("lang"), "lang").alias("metadata"),
+    )
+    store.put(described.join(_encoded(spark, sf_dir), "doc_id"))
+    stored = store.scan()
+    hits = knn_join(_asked(spark, sf_dir), stored, 5)
+    return rag.with_documents(hits, stored).select(
+        "query_id",
+        F.col("rank").cast("bigint").alias("rank"),
+        "doc_id",
+        F.md5("content").alias("content_md5"),
+        "source_path",
+        F.element_at("metadata", "lang").alias("lang"),
+        F.size("metadata").cast("bigint").alias("entries"),
+    )
+
+
 # -- history, alerts, reports: each event is one stored result -------------------------------
 
 

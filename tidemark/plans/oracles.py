@@ -444,6 +444,8 @@ SELECT id AS doc_id, b::BIGINT AS dim, round(x, 4) AS weight FROM td_a WHERE x >
 ORACLES["knn_retrieval"] = f"""{_HITS}
 SELECT query_id, doc_id, round(distance, 5) AS distance, rank FROM hits"""
 
+ORACLES["knn_by_cells"] = ORACLES["knn_retrieval"]
+
 ORACLES["label_neighbors"] = f"""
 WITH {_VECTORS},
 x AS (SELECT label, unnest(e) AS x, generate_subscripts(e, 1) AS dim FROM v),
@@ -508,6 +510,34 @@ m AS (SELECT id, e FROM td UNION ALL
   SELECT vec_id::VARCHAR, embedding::DOUBLE[] FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents))
 SELECT id AS doc_id, round(list_max(e), 4) AS largest, round(list_min(e), 4) AS smallest FROM m"""
 
+ORACLES["vector_table_upsert"] = ORACLES["embedding_upsert"]
+
+_DATED = """d AS (SELECT vec_id::VARCHAR AS doc_id, label, embedding,
+  TIMESTAMP '2024-01-01' + to_hours((vec_id % 240)::INT) AS at FROM embeddings)"""
+
+ORACLES["vector_table_remove"] = f"""
+WITH {_DATED}
+SELECT doc_id, label, strftime(at, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM d WHERE label NOT IN (3, 7)"""
+
+ORACLES["vector_table_clear"] = """
+SELECT vec_id::VARCHAR AS doc_id, label FROM embeddings WHERE label < 4"""
+
+ORACLES["vector_table_window"] = f"""
+WITH {_DATED}, w AS (SELECT doc_id, label, at + CASE WHEN label % 2 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS at FROM d)
+SELECT doc_id, label, strftime(at, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM w
+WHERE at BETWEEN TIMESTAMP '2024-01-02 06:00:00' AND TIMESTAMP '2024-01-05'"""
+
+ORACLES["drift_windows"] = f"""
+WITH {_DATED},
+x AS (SELECT at < TIMESTAMP '2024-01-06' AS b, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM d),
+c AS (SELECT dim, avg(x) FILTER (b) AS b, avg(x) FILTER (NOT b) AS c FROM x GROUP BY dim),
+m AS (SELECT sum(b * c) / (sqrt(sum(b * b)) * sqrt(sum(c * c))) AS s FROM c)
+SELECT 'cosine_centroid' AS test_name, round(s, 6) AS statistic, 0.85::DOUBLE AS threshold, s < 0.85 AS is_drifted FROM m"""
+
+ORACLES["retrieved_documents"] = f"""{_HITS}
+SELECT query_id, rank, h.doc_id, md5(text) AS content_md5, source AS source_path, lang, 1::BIGINT AS entries
+FROM hits h JOIN documents d ON h.doc_id = d.doc_id::VARCHAR"""
+
 ORACLES["embedding_window_scan"] = """
 SELECT vec_id::VARCHAR AS doc_id, label, strftime(t, '%Y-%m-%d %H:%M:%S') AS ingested_at
 FROM (SELECT *, TIMESTAMP '2024-01-01' + to_hours(vec_id % 240) AS t FROM embeddings)
