@@ -314,13 +314,69 @@ def test_damaged_archives_are_refused():
     import io
 
     good = warc.record(1, "http://a", b"payload", None, False)
-    assert warc.content(*warc.parse(good)) == (b"payload", 7)
-    with pytest.raises(warc.Damaged):
-        warc.parse(good.replace(b"payload", b"paxload"))
+
+    def found(data):
+        return [warc.content(*r) for r in warc.records(io.BytesIO(data))]
+
+    size = len(good) - good.find(b"\r\n\r\n") - 8
     packed = warc.member(good) + warc.member(good)
-    assert list(warc.members(io.BytesIO(packed))) == [good, good]
-    with pytest.raises(warc.Damaged):
-        list(warc.members(io.BytesIO(packed[:-9])))
+    assert found(packed) == [(b"payload", 7)] * 2
+    for bad in (
+        warc.member(good.replace(b"payload", b"paxload")),
+        packed[:-9],
+        warc.member(good[:-1]),
+        warc.member(good.replace(b"Content-Length: %d" % size, b"Content-Length: %d" % (size - 1), 1)),
+        warc.member(b"no record\r\n\r\n"),
+        b"not gzip",
+    ):
+        with pytest.raises(warc.Damaged):
+            found(bad)
+
+
+def test_archives_are_gzip_members(spark):
+    """What another reader sees: one member for each record, reached by its offset."""
+    import zlib
+
+    pages = table(spark, "pages")
+    files = warc.cut(warc.write(pages, warc.new_folder(spark, "warc")), "files").collect()
+    members = 0
+    for file in files:
+        raw = Path(file.path.removeprefix("file://")).read_bytes()
+        assert len(raw) == file.bytes
+        while raw:
+            unpacker = zlib.decompressobj(31)
+            record = unpacker.decompress(raw)
+            assert unpacker.eof and record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            raw, members = unpacker.unused_data, members + 1
+    assert members == sum(f.records for f in files) == pages.count()
+
+
+def test_archives_of_other_writers(spark, tmp_path, monkeypatch):
+    import io
+
+    def one(kind, block, *extra):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", *extra, f"Content-Length: {len(block)}"]
+        return warc.member("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    body = b"<p>" + bytes(range(256)) * 900 + b"</p>"
+    hexadecimal = hashlib.sha1(body).hexdigest()
+    data = (
+        one("warcinfo", b"software: other\r\n")
+        + one("request", b"GET / HTTP/1.1\r\n\r\n" * 50_000)
+        + one("response", b"HTTP/1.1 200 OK\r\n\r\n" + body, "WARC-Record-ID: <urn:uuid:a-b>", f"WARC-Payload-Digest: sha1:{hexadecimal}")
+        + one("metadata", b"")
+        + one("revisit", b"", "WARC-Record-ID: <urn:uuid:c>", "WARC-Refers-To: <urn:uuid:a-b>")
+        + one("response", b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nab", "WARC-Payload-Digest: md5:00")
+    )
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(data)
+    rows = warc.read(spark.createDataFrame([(f"file://{path}",)], "path string")).collect()
+    assert [(r.page_id, r.record_id, r.record_type, r.payload_bytes) for r in rows] == [
+        (None, "<urn:uuid:a-b>", "response", len(body)), (None, "<urn:uuid:c>", "revisit", None), (None, None, "response", 2),
+    ]
+    assert bytes(rows[0].payload) == body and rows[1].payload is None
+    monkeypatch.setattr(warc, "READ_BYTES", 7)  # pieces that end anywhere
+    assert [len(b) for _, b in warc.records(io.BytesIO(data))] == [len(body) + 19, 0, 40]
 
 
 # -- 7 ---------------------------------------------------------------------------------------
