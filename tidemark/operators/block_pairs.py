@@ -356,12 +356,21 @@ def meet(left: Packed, right: Packed | None, theta: float, work: Work, schema: s
                         yield from found.combine_chunks().to_batches(max_chunksize=1 << 16)
 
         return left.frame.mapInArrow(alone, schema)
-    pairs = cut(schedule(left, right, theta))
-    partners = F.count("*").over(Window.partitionBy("a"))
-    parts = F.ceil(partners / F.lit(PARTNERS))
-    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), parts).cast("int"))
-    home = dealt.select("a", "part").distinct().join(left.frame.withColumnRenamed("block", "a"), "a")
-    guests = fresh(dealt.join((right or left).frame.withColumnRenamed("block", "b"), "b"))
+    left_frame, right_frame = left.frame.withColumnRenamed("block", "a"), (right or left).frame
+    right_frame = right_frame.withColumnRenamed("block", "b")
+    if left.blocks == 1 and (right or left).blocks == 1:
+        tasks = 1
+        home = left_frame.withColumn("a", F.lit(0).cast("bigint")).withColumn("part", F.lit(0))
+        guests = right_frame.withColumn("a", F.lit(0).cast("bigint")).withColumn("part", F.lit(0))
+    else:
+        pairs = cut(schedule(left, right, theta))
+        tasks = _tasks(pairs, max(pairs.count() // 4, 1))
+        partners = F.count("*").over(Window.partitionBy("a"))
+        parts = F.ceil(partners / F.lit(PARTNERS))
+        dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), parts).cast("int"))
+        home = dealt.select("a", "part").distinct().join(left_frame, "a")
+        guests = dealt.join(right_frame, "b")
+    guests = fresh(guests)
     empty = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
 
     def bring(hosts: pa.Table, visitors: pa.Table) -> pa.Table:
@@ -377,7 +386,6 @@ def meet(left: Packed, right: Packed | None, theta: float, work: Work, schema: s
                     out.append(found)
         return pa.concat_tables(out) if out else empty
 
-    tasks = _tasks(pairs, max(pairs.count() // 4, 1))
     return (
         home.repartition(tasks, "a", "part")
         .groupBy("a", "part")

@@ -235,7 +235,10 @@ def paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_rows(df: DataFrame, key: str, body: str) -> DataFrame:
     records = df.select(
-        F.lit("table").alias("file"), F.col(key).alias("index"), F.parse_json(body).alias("value")
+        F.lit("table").alias("file"),
+        F.col(key).alias("index"),
+        F.col(body).alias("body"),
+        F.parse_json(body).alias("value"),
     )
     entries = F.array_sort(
         F.transform(F.map_entries("metadata"), lambda e: F.concat_ws("=", e["key"], e["value"]))

@@ -191,7 +191,7 @@ SELECT doc_id, text AS content, 'body=' || text || ',lang=' || lang || ',long='
 FROM documents"""
 
 ORACLES["json_metadata"] = """
-SELECT event_id, replace(props, ' ', '') AS content, 'k=' || (props ->> '$.k') AS metadata FROM events"""
+SELECT event_id, props AS content, 'k=' || (props ->> '$.k') AS metadata FROM events"""
 
 ORACLES["table_rows_as_documents"] = """
 WITH c AS (SELECT c_custkey, coalesce(nullif(c_mktsegment, 'MACHINERY'), '') AS s, c_name FROM customer)
@@ -513,23 +513,23 @@ SELECT id AS doc_id, round(list_max(e), 4) AS largest, round(list_min(e), 4) AS
 ORACLES["vector_table_upsert"] = ORACLES["embedding_upsert"]
 
 _DATED = """d AS (SELECT vec_id::VARCHAR AS doc_id, label, embedding,
-  TIMESTAMP '2024-01-01' + to_hours((vec_id % 240)::INT) AS at FROM embeddings)"""
+  TIMESTAMP '2024-01-01' + to_hours((vec_id % 240)::INT) AS ts FROM embeddings)"""
 
 ORACLES["vector_table_remove"] = f"""
 WITH {_DATED}
-SELECT doc_id, label, strftime(at, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM d WHERE label NOT IN (3, 7)"""
+SELECT doc_id, label, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM d WHERE label NOT IN (3, 7)"""
 
 ORACLES["vector_table_clear"] = """
 SELECT vec_id::VARCHAR AS doc_id, label FROM embeddings WHERE label < 4"""
 
 ORACLES["vector_table_window"] = f"""
-WITH {_DATED}, w AS (SELECT doc_id, label, at + CASE WHEN label % 2 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS at FROM d)
-SELECT doc_id, label, strftime(at, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM w
-WHERE at BETWEEN TIMESTAMP '2024-01-02 06:00:00' AND TIMESTAMP '2024-01-05'"""
+WITH {_DATED}, w AS (SELECT doc_id, label, ts + CASE WHEN label % 2 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS ts FROM d)
+SELECT doc_id, label, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM w
+WHERE ts BETWEEN TIMESTAMP '2024-01-02 06:00:00' AND TIMESTAMP '2024-01-05'"""
 
 ORACLES["drift_windows"] = f"""
 WITH {_DATED},
-x AS (SELECT at < TIMESTAMP '2024-01-06' AS b, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM d),
+x AS (SELECT ts < TIMESTAMP '2024-01-06' AS b, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM d),
 c AS (SELECT dim, avg(x) FILTER (b) AS b, avg(x) FILTER (NOT b) AS c FROM x GROUP BY dim),
 m AS (SELECT sum(b * c) / (sqrt(sum(b * b)) * sqrt(sum(c * c))) AS s FROM c)
 SELECT 'cosine_centroid' AS test_name, round(s, 6) AS statistic, 0.85::DOUBLE AS threshold, s < 0.85 AS is_drifted FROM m"""
