@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tidemark.operators import block_pairs, nearest, similarity
+from tidemark.operators import block_pairs, candidates, nearest, similarity
 from tidemark.operators.nearest import knn_join
 from tidemark.operators.similarity import radius_counts, similarity_join
 
@@ -203,3 +203,47 @@ def test_search_by_cells_on_odd_inputs(vectors):
     none = nearest.packed_documents(vectors(clustered(16, 30)).limit(0), "doc_id", "embedding")
     assert nearest.cell_knn(asked, none, 3).count() == 0
     assert nearest.cell_knn(asked.limit(0), few, 3).count() == 0
+
+
+# -- candidates by random planes -------------------------------------------------------------
+
+
+def found_pairs(frame):
+    pairs = [(r.id_a, r.id_b) for r in frame.collect()]
+    assert len(pairs) == len(set(pairs))  # every pair once, whatever the tables
+    return set(pairs)
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 40])
+def test_candidates_reach_their_recall_and_are_exact(vectors, bucket_rows):
+    rows = np.vstack([clustered(20, 500, 12), tight_clusters(21, 3, 90, 12)])
+    sims = cosine(rows, rows)
+    expected = {(f"d{i:05d}", f"d{j:05d}") for i, j in zip(*np.nonzero(np.triu(sims >= 0.85, 1)))}
+    got = candidates.candidate_join(vectors(rows), threshold=0.85, recall=0.95, bucket_rows=bucket_rows).collect()
+    pairs = {(r.id_a, r.id_b): r.similarity for r in got}
+    assert len(pairs) == len(got) and set(pairs) <= expected
+    assert len(pairs) >= 0.93 * len(expected)
+    assert all(abs(s - sims[int(a[1:]), int(b[1:])]) < 1e-9 for (a, b), s in pairs.items())
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 25])
+def test_candidates_of_two_sides(vectors, bucket_rows):
+    a, b = clustered(22, 150), clustered(22, 260)
+    expected = {(f"a{i:05d}", f"b{j:05d}") for i, j in zip(*np.nonzero(cosine(a, b) >= 0.9))}
+    found = found_pairs(
+        candidates.candidate_join(vectors(a, "a"), vectors(b, "b"), threshold=0.9, bucket_rows=bucket_rows)
+    )
+    assert found <= expected and len(found) >= 0.93 * len(expected)
+
+
+def test_planes_follow_from_recall():
+    planes = candidates.Planes.of(0.8, 0.95, 1_000_000)
+    assert planes.bits == 14 and planes.recall(0.8) >= 0.95 > planes.recall(0.5)
+    assert candidates.Planes.of(0.2, 0.95, 10**9).tables <= candidates.MAX_TABLES
+    with pytest.raises(ValueError):
+        candidates.Planes.of(0.8, 1.0, 100)
+
+
+def test_candidates_of_nothing(vectors):
+    none = vectors(clustered(1, 20)).limit(0)
+    assert candidates.candidate_join(none, threshold=0.5).count() == 0

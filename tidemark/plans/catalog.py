@@ -19,6 +19,7 @@ from tidemark import schemas
 from tidemark.functions import text, vectors
 from tidemark.functions.encoders import hashed_terms, term_vector
 from tidemark.operators import alerts, drift, quality, rag, risks
+from tidemark.operators.candidates import candidate_join
 from tidemark.operators.nearest import cell_knn, knn_join, packed_documents
 from tidemark.operators.similarity import similarity_join
 from tidemark.operators.staging import cut, scratch_folder, spread
@@ -308,6 +309,20 @@ def similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def candidate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of all pairs at 0.5 the candidate join finds, and that it gives no other."""
+    vecs = cut(embeddings(spark, sf_dir))
+    every = similarity_join(vecs, threshold=0.5).select("id_a", "id_b", F.lit(1).alias("exact"), F.lit(0).alias("found"))
+    found = candidate_join(vecs, threshold=0.5).select("id_a", "id_b", F.lit(0).alias("exact"), F.lit(1).alias("found"))
+    pairs = every.unionByName(found).groupBy("id_a", "id_b").agg(F.sum("exact").alias("e"), F.sum("found").alias("f"))
+    return pairs.agg(
+        F.count_if("e = 1").alias("pairs"),
+        F.count_if("e = 0 OR f > 1").alias("wrong"),
+        (F.count_if("e = 1 AND f = 1") >= F.count_if("e = 1") * 0.9).alias("recall_reached"),
+    )
+
+
 @query
 def contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = risks.contradiction_pairs(

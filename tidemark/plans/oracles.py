@@ -444,6 +444,11 @@ SELECT id AS doc_id, b::BIGINT AS dim, round(x, 4) AS weight FROM td_a WHERE x >
 ORACLES["knn_retrieval"] = f"""{_HITS}
 SELECT query_id, doc_id, round(distance, 5) AS distance, rank FROM hits"""
 
+ORACLES["candidate_recall"] = f"""
+WITH {_VECTORS}
+SELECT count(*) AS pairs, 0::BIGINT AS wrong, true AS recall_reached
+FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.5"""
+
 ORACLES["knn_by_cells"] = ORACLES["knn_retrieval"]
 
 ORACLES["label_neighbors"] = f"""
