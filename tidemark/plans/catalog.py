@@ -26,7 +26,7 @@ from tidemark.operators.staging import cut, scratch_folder, spread
 from tidemark.params import DriftParams, Params, QualityParams, RagParams, RiskParams
 from tidemark.plans import history, report
 from tidemark.plans.run import Findings, findings_by_family, measure
-from tidemark.sources import files
+from tidemark.sources import alert_sink, files
 from tidemark.sources.embeddings import VectorTable, embed_missing, in_window, merge_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,9 +317,9 @@ def candidate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = candidate_join(vecs, threshold=0.5).select("id_a", "id_b", F.lit(0).alias("exact"), F.lit(1).alias("found"))
     pairs = every.unionByName(found).groupBy("id_a", "id_b").agg(F.sum("exact").alias("e"), F.sum("found").alias("f"))
     return pairs.agg(
-        F.count_if("e = 1").alias("pairs"),
-        F.count_if("e = 0 OR f > 1").alias("wrong"),
-        (F.count_if("e = 1 AND f = 1") >= F.count_if("e = 1") * 0.9).alias("recall_reached"),
+        F.expr("count_if(e = 1)").alias("pairs"),
+        F.expr("count_if(e = 0 OR f > 1)").alias("wrong"),
+        F.expr("count_if(e = 1 AND f = 1) >= count_if(e = 1) * 0.9").alias("recall_reached"),
     )
 
 
@@ -884,6 +884,19 @@ def alert_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def delivered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that were written to the sink, and again after their batch was there."""
+    folder = f"{scratch_folder(spark).rstrip('/')}/tidemark/alerts-{uuid.uuid4().hex}"
+    for _ in range(2):
+        alert_sink.deliver_to(alerts_table(spark, sf_dir), folder, "batch-1")
+    return spark.read.text(f"{folder}/batch-1").select(
+        *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("severity", "source", "title", "message")],
+        F.get_json_object("value", "$.context.k").alias("k"),
+        F.substring(F.get_json_object("value", "$.timestamp"), 1, 19).alias("at"),
+    )
+
+
 @query
 def alerts_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = alerts.derive_alerts(

@@ -589,6 +589,7 @@ ORACLES["alert_payloads"] = f"""
 SELECT event_id, {_SEVERITY} AS severity, 'quality' AS source, 'user ' || user_id AS title,
   'value ' || value AS message, props ->> '$.k' AS k, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at
 FROM events WHERE event_type = 'signup'"""
+ORACLES["delivered_alerts"] = ORACLES["alert_payloads"].replace("SELECT event_id, ", "SELECT ", 1)
 ORACLES["alerts_derived"] = f"""
 SELECT 'WARNING' AS severity, 'drift' AS source_module, 'Drift detected: ' || {_TEST} AS title,
   {_TEST} || ' detected distribution shift (statistic=' || value || ', threshold=30.0)' AS message,
