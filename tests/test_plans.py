@@ -43,10 +43,9 @@ def drift_row(spark, name="ks_test", statistic=0.15, drifted=True, at=AT):
 
 def risk_rows(spark):
     return spark.createDataFrame(
-        [("temporal", "INFO", ["a"], 0, 1, "old", 0.3, AT), ("ambiguity", "CRITICAL", ["a"], 0, 2, "x", 0.9, AT),
-         ("ambiguity", "CRITICAL", ["b"], 1, 2, "x", 0.9, AT)],
-        "risk_type string, severity string, doc_ids array<string>, part int, parts int, "
-        "description string, confidence double, detected_at timestamp",
+        [("f1", "temporal", "INFO", 1, "old", 0.3, AT), ("f2", "ambiguity", "CRITICAL", 2, "x", 0.9, AT)],
+        "finding_id string, risk_type string, severity string, documents long, description string, "
+        "confidence double, detected_at timestamp",
     )
 
 

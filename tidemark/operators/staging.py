@@ -96,15 +96,6 @@ def join_counted(
     return hot_part.unionByName(cold_part)
 
 
-def part_count(rows: Column, per_part: int) -> Column:
-    return F.greatest(F.ceil(rows / F.lit(per_part)), F.lit(1)).cast("int")
-
-
-def part_of(key: Column, parts: Column) -> Column:
-    """Which of ``parts`` equal shares a row belongs to."""
-    return F.pmod(F.xxhash64(key), parts.cast("bigint")).cast("int")
-
-
 def add_blocks(partial: DataFrame) -> DataFrame:
     """Sums by (key, block) of rows (key, block, rows, sums), element by element.
 

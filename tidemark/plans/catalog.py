@@ -208,9 +208,7 @@ def temporal_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def temporal_risks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risks.temporal_risks(documents(spark, sf_dir, DATED), dt.date(2024, 6, 30))
-    return found.select(
-        "risk_type", "severity", joined("doc_ids").alias("doc_ids"), "description", "confidence"
-    )
+    return found.select("risk_type", "severity", "pos", "doc_id", "description", "confidence")
 
 
 # -- sources ---------------------------------------------------------------------------------
@@ -344,15 +342,19 @@ def contradiction_risks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risks.contradictions(
         documents(spark, sf_dir, NEGATED), embeddings(spark, sf_dir), SIMILAR
     )
-    return found.select(
-        "risk_type", "severity", joined("doc_ids").alias("doc_ids"), "description", "confidence"
-    )
+    return found.select("risk_type", "severity", "pos", "doc_id", "description", "confidence")
 
 
 @query
 def ambiguous_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risks.ambiguous_entities(documents(spark, sf_dir), embeddings(spark, sf_dir), SIMILAR)
-    return found.select("severity", joined("doc_ids").alias("doc_ids"), "description", "confidence")
+    return found.select("severity", "documents", "pos", "doc_id", "description", "confidence")
+
+
+@query
+def ambiguity_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = risks.ambiguous_entities(documents(spark, sf_dir), embeddings(spark, sf_dir), SIMILAR)
+    return risks.findings(found).select("finding_id", "risk_type", "severity", "documents", "confidence")
 
 
 @query
@@ -375,9 +377,7 @@ def neighbor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sparse_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risks.sparse_context(documents(spark, sf_dir), embeddings(spark, sf_dir), SIMILAR)
-    return found.select(
-        "risk_type", "severity", joined("doc_ids").alias("doc_ids"), "description", "confidence"
-    )
+    return found.select("risk_type", "severity", "pos", "doc_id", "description", "confidence")
 
 
 @query
@@ -385,9 +385,7 @@ def sparse_corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risks.sparse_context(
         documents(spark, sf_dir), embeddings(spark, sf_dir), RiskParams(radius=0.4)
     )
-    return found.select(
-        "severity", F.md5(joined("doc_ids")).alias("doc_ids_md5"), "description", "confidence"
-    )
+    return found.select("severity", "documents", "doc_id", "description", "confidence")
 
 
 # -- drift -----------------------------------------------------------------------------------
@@ -777,7 +775,6 @@ def risks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN value > 5 THEN 'INFO' ELSE 'DEBUG' END",
         description="concat('user ', user_id)",
         confidence="least(value / 100, 1.0D)",
-        part="0",
     ).withColumnRenamed("at", "detected_at")
 
 

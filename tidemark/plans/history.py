@@ -1,4 +1,4 @@
-"""Results of all runs, kept as six Parquet tables partitioned by run."""
+"""Results of all runs, kept as seven Parquet tables partitioned by run."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ TABLES: dict[str, str] = {
     "runs": schemas.RUNS,
     "drift_results": _RUN + schemas.DRIFT,
     "risks": _RUN + schemas.RISK,
+    "risk_members": _RUN + schemas.RISK_MEMBER,
     "quality_checks": _RUN + schemas.CHECK,
     "rag_metrics": _RUN + schemas.RAG,
     "alerts": _RUN + schemas.ALERT,

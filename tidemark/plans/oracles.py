@@ -170,7 +170,7 @@ s AS (SELECT doc_id, strftime(latest, '%Y-%m-%d') AS latest, age_days,
 
 ORACLES["temporal_staleness"] = f"{_STALE} SELECT * FROM s"
 ORACLES["temporal_risks"] = f"""{_STALE}
-SELECT 'temporal' AS risk_type, severity, doc_id AS doc_ids,
+SELECT 'temporal' AS risk_type, severity, 0::BIGINT AS pos, doc_id,
   'Document contains potentially outdated information. Most recent date found: ' || latest || ' ('
   || age_days || ' days old, threshold: 365 days).' AS description, confidence FROM s"""
 
@@ -239,7 +239,7 @@ SELECT doc_a, doc_b, round(sim, 5) AS similarity, negation_divergence, number_co
 
 _SET = "'{{''' || array_to_string({0}, ''', ''') || '''}}'"
 ORACLES["contradiction_risks"] = f"""{_CONTRADICTIONS}
-SELECT 'contradiction' AS risk_type, severity, doc_a || ',' || doc_b AS doc_ids,
+SELECT 'contradiction' AS risk_type, severity, unnest([0, 1])::BIGINT AS pos, unnest([doc_a, doc_b]) AS doc_id,
   'Potential contradiction between semantically similar documents (similarity=' || printf('%.3f', sim)
   || '). Signals: ' || concat_ws(', ', CASE WHEN negation_divergence THEN 'negation divergence' END,
     CASE WHEN number_conflict THEN 'conflicting numbers: ' || {_SET.format('na')} || ' vs ' || {_SET.format('nb')} END)
@@ -254,16 +254,20 @@ l AS (SELECT entity, doc_id, e FROM m JOIN v ON v.vec_id = m.doc_id
 x AS (SELECT entity, doc_id, unnest(e) AS x, generate_subscripts(e, 1) AS dim FROM l),
 c AS (SELECT entity, dim, avg(x) AS c FROM x GROUP BY ALL),
 r AS (SELECT entity, doc_id, sqrt(sum((x - c) * (x - c))) AS r FROM x JOIN c USING (entity, dim) GROUP BY ALL),
-s AS (SELECT entity, count(*) AS n_docs, avg(r) AS mean_distance, var_pop(r) AS variance,
-  string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS doc_ids FROM r GROUP BY entity)"""
+s AS (SELECT entity, count(*) AS n_docs, avg(r) AS mean_distance, var_pop(r) AS variance FROM r GROUP BY entity)"""
 
 ORACLES["entity_spread"] = f"""{_SPREAD}
 SELECT entity, n_docs, round(mean_distance, 5) AS mean_distance, round(variance, 5) AS variance FROM s"""
 ORACLES["ambiguous_entities"] = f"""{_SPREAD}
-SELECT CASE WHEN mean_distance > 0.8 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, doc_ids,
+SELECT CASE WHEN mean_distance > 0.8 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, n_docs AS documents,
+  doc_id AS pos, doc_id::VARCHAR AS doc_id,
   'Entity ''' || entity || ''' appears in ' || n_docs || ' documents with high contextual variance (mean_distance='
   || printf('%.3f', mean_distance) || ', variance=' || printf('%.3f', variance)
   || '). May refer to different things.' AS description,
+  round(least(mean_distance / 1.5, 1.0), 3) AS confidence FROM s JOIN r USING (entity) WHERE mean_distance > 0.5"""
+ORACLES["ambiguity_findings"] = f"""{_SPREAD}
+SELECT md5('ambiguity' || chr(31) || entity) AS finding_id, 'ambiguity' AS risk_type,
+  CASE WHEN mean_distance > 0.8 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, n_docs AS documents,
   round(least(mean_distance / 1.5, 1.0), 3) AS confidence FROM s WHERE mean_distance > 0.5"""
 
 
@@ -286,27 +290,26 @@ def _sparse(radius: float, least: int) -> str:
     """Findings ``f`` of both kinds: one per document, or one for a mostly sparse corpus."""
     return f"""WITH {_neighbors(radius, _ALIGNED)},
 s AS (SELECT * FROM n WHERE neighbors < {least}),
-c AS (SELECT count(*) AS found, (SELECT count(*) FROM n) AS total,
-  string_agg(i::VARCHAR, ',' ORDER BY i) AS ids FROM s),
+c AS (SELECT count(*) AS found, (SELECT count(*) FROM n) AS total FROM s),
 f AS (
   SELECT CASE WHEN neighbors = 0 THEN 'CRITICAL' WHEN neighbors < {least // 2} THEN 'WARNING' ELSE 'INFO' END AS severity,
-    i::VARCHAR AS doc_ids,
+    1::BIGINT AS documents, i,
     'Document is in a sparse region of the knowledge space. Only ' || neighbors
     || ' neighbors within radius {radius} (minimum: {least}). Mean neighbor distance: ' || printf('%.3f', mean_distance)
     || '. LLM may lack sufficient context for accurate responses.' AS description,
     CASE WHEN neighbors = 0 THEN 0.95::DOUBLE WHEN neighbors < {least // 2} THEN 0.7::DOUBLE ELSE 0.5::DOUBLE END AS confidence
   FROM s, c WHERE found <= total // 2
   UNION ALL
-  SELECT 'WARNING', ids, found || '/' || total || ' documents (' || round_even(found * 100 / total, 0)::INT
+  SELECT 'WARNING', found, i, found || '/' || total || ' documents (' || round_even(found * 100 / total, 0)::INT
     || '%) have fewer than {least} neighbors within radius {radius}. The corpus is too small or too topically diverse'
     || ' for reliable RAG coverage. Add more documents to dense topic areas.', 0.8::DOUBLE
-  FROM c WHERE found > total // 2)"""
+  FROM s, c WHERE found > total // 2)"""
 
 
 ORACLES["sparse_context"] = f"""{_sparse(0.75, 8)}
-SELECT 'sparse_context' AS risk_type, severity, doc_ids, description, confidence FROM f"""
+SELECT 'sparse_context' AS risk_type, severity, i AS pos, i::VARCHAR AS doc_id, description, confidence FROM f"""
 ORACLES["sparse_corpus_summary"] = f"""{_sparse(0.4, 2)}
-SELECT severity, md5(doc_ids) AS doc_ids_md5, description, confidence FROM f"""
+SELECT severity, documents, i::VARCHAR AS doc_id, description, confidence FROM f"""
 
 # -- drift -----------------------------------------------------------------------------------
 

@@ -27,7 +27,7 @@ def run_summary(
     families = [
         count(drift, drift_tests=F.count("*"), drift_detected=F.count_if("is_drifted")),
         count(
-            risks.where("part = 0"),
+            risks,
             risks=F.count("*"),
             serious_risks=F.count_if(F.col("severity").isin("WARNING", "CRITICAL")),
         ),
@@ -61,8 +61,7 @@ def health_score(summary: DataFrame) -> DataFrame:
 def risk_breakdown(risks: DataFrame) -> DataFrame:
     """Counts by type and by severity from one aggregation: (dimension, value, risks)."""
     return (
-        risks.where("part = 0")
-        .groupingSets([["risk_type"], ["severity"]], "risk_type", "severity")
+        risks.groupingSets([["risk_type"], ["severity"]], "risk_type", "severity")
         .agg(F.count("*").alias("risks"), F.grouping("risk_type").alias("by_severity"))
         .select(
             F.when(F.col("by_severity") == 1, F.lit("severity"))

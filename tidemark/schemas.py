@@ -19,12 +19,13 @@ DRIFT = (
     "test_name string, statistic double, p_value double, threshold double, "
     "is_drifted boolean, details string, measured_at timestamp"
 )
-# One risk over very many documents is stored in several parts so that no row holds an
-# unbounded id list; parts = 1 for everything below ids_per_part documents.
+# A finding is one row whatever it covers; its documents are rows of their own, in the order of pos.
 RISK = (
-    "risk_type string, severity string, doc_ids array<string>, part int, parts int, "
-    "description string, confidence double, detected_at timestamp"
+    "finding_id string, risk_type string, severity string, documents bigint, description string, "
+    "confidence double, detected_at timestamp"
 )
+RISK_MEMBER = "finding_id string, pos bigint, doc_id string"
+RISK_ROW = RISK + ", pos bigint, doc_id string"
 CHECK = (
     "check_name string, dataset string, passed boolean, metric_value double, "
     "details string, checked_at timestamp"
