@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import block_pairs, candidates, nearest, similarity
@@ -205,6 +206,25 @@ def test_search_by_cells_on_odd_inputs(vectors):
     assert nearest.cell_knn(asked.limit(0), few, 3).count() == 0
 
 
+@pytest.mark.parametrize("layout", [{}, {"block_rows": 30}])
+def test_what_a_pair_of_blocks_gives_goes_out_in_pieces(vectors, layout):
+    packed = stored(vectors(clustered(18, 90)), **layout)
+
+    def work(a, b, same):
+        for _ in range(3):
+            yield pa.table({"a": [a.number], "b": [b.number]})
+
+    met = block_pairs.meet(packed, None, np.pi, work, "a bigint, b bigint").groupBy("a", "b").count().collect()
+    assert len(met) == packed.blocks * (packed.blocks + 1) // 2 and {r["count"] for r in met} == {3}
+
+
+def test_pairs_bring_the_columns_asked_for(vectors):
+    rows = clustered(19, 120)
+    frame = vectors(rows).selectExpr("*", "array(doc_id) AS names")
+    got = similarity_join(frame, threshold=0.9, give=["names"], block_rows=30).collect()
+    assert len(got) > 100 and all((r.names_a, r.names_b) == ([r.id_a], [r.id_b]) for r in got)
+
+
 # -- candidates by random planes -------------------------------------------------------------
 
 
