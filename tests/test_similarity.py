@@ -264,6 +264,17 @@ def test_planes_follow_from_recall():
         candidates.Planes.of(0.8, 1.0, 100)
 
 
+def test_planes_are_made_once_for_a_worker(monkeypatch):
+    made, draw = [], np.random.default_rng
+    monkeypatch.setattr(np.random, "default_rng", lambda seed: made.append(seed) or draw(seed))
+    planes, units = candidates.Planes(7, 20, seed=91), block_pairs.unit(clustered(25, 700, 33))
+    whole = planes.signatures(units)
+    for at in range(0, 700, 100):
+        assert (planes.signatures(units[at : at + 100]) == whole[at : at + 100]).all()
+    assert made.count(91) == 1 and whole.max() < 1 << 7
+    assert (planes.signatures(units, 5) == whole[:, :5]).all()
+
+
 def test_candidates_of_nothing(vectors):
     none = vectors(clustered(1, 20)).limit(0)
     assert candidates.candidate_join(none, threshold=0.5).count() == 0

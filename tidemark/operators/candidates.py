@@ -7,13 +7,16 @@ recall wanted at the threshold; pairs that are more similar are found more surel
 meet in a bucket and are compared exactly there: no pair below the threshold is ever given. A pair is given by
 the first table in which it agrees and by no other, which needs no second shuffle to tell repetitions.
 
-A row is sent once for each table, however many rows there are. A bucket of more than ``BUCKET_ROWS`` rows is
+A row is sent once for each table, however many rows there are. Buckets of a table travel in groups of some
+``GROUP_ROWS`` rows and are compared one by one within them; the planes are made once for a worker, and the
+tables before are looked at only for pairs at the threshold. A bucket of more than ``BUCKET_ROWS`` rows is
 dealt into parts that meet two at a time; only such buckets pass through the driver, fewer than tables * rows /
 BUCKET_ROWS.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +30,18 @@ from tidemark.operators.block_pairs import Block, matrix, unit, with_vectors
 from tidemark.operators.similarity import hits
 
 BUCKET_ROWS = 4096
+#: Rows of a bucket that a join aims at: larger buckets need fewer tables, so rows are sent less often.
+IN_BUCKET = 512
+GROUP_ROWS = 4096
 MAX_TABLES = 512
+#: Buckets that a task counts in an array, and rows whose sides of all planes are held at a time.
+COUNTED, SIDES = 1 << 22, 256
+_PAIRS = 1 << 14
+
+
+@functools.lru_cache(maxsize=2)
+def _normals(width: int, count: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(width, count)).astype(np.float32).astype(np.float64)
 
 
 @dataclass(frozen=True)
@@ -56,16 +70,23 @@ class Planes:
         agree = 1 - math.acos(min(max(similarity, -1), 1)) / math.pi
         return 1 - (1 - agree**self.bits) ** self.tables
 
-    def signatures(self, units: np.ndarray) -> np.ndarray:
-        """rows x tables."""
-        rng = np.random.default_rng(self.seed)
-        normals = rng.normal(size=(units.shape[1], self.tables * self.bits)).astype(np.float32)
-        sides = (units.astype(np.float32) @ normals > 0).reshape(len(units), self.tables, self.bits)
-        return sides @ (1 << np.arange(self.bits, dtype=np.int64))
-
-
-def _buckets(rows: DataFrame, planes: Planes, full: dict[int, int]) -> DataFrame:
-    """(bucket, low, high, part, right, id, vec): every row once for each unit in which it is compared."""
+    def signatures(self, units: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """rows x tables, for the first ``tables`` if given. In double precision: a row has to be on the same side
+        of a plane wherever it is looked at."""
+        tables = self.tables if tables is None else tables
+        normals = _normals(units.shape[1], self.tables * self.bits, self.seed)[:, : tables * self.bits]
+        out = np.empty((len(units), tables), dtype=np.int64)
+        for at in range(0, len(units), SIDES):
+            some = units[at : at + SIDES]
+            sides = (some @ normals > 0).reshape(len(some), tables, self.bits)
+            out[at : at + SIDES] = sides.astype(np.float64) @ 2.0 ** np.arange(self.bits)
+        return out
+
+
+def _buckets(rows: DataFrame, planes: Planes, full: dict[int, int], n_rows: int) -> DataFrame:
+    """(unit, bucket, low, high, part, right, id, vec): every row once for each unit in which it is compared. A
+    full bucket is a unit of its own, others share one."""
+    units = max(n_rows // GROUP_ROWS, 1)
     keys = np.array(sorted(full), dtype=np.int64)
     parts = np.array([full[k] for k in keys.tolist()], dtype=np.int64)
     shared = rows.sparkSession.sparkContext.broadcast((keys, parts))
@@ -86,28 +107,52 @@ def _buckets(rows: DataFrame, planes: Planes, full: dict[int, int]) -> DataFrame
                 row = np.repeat(np.arange(len(bucket)), count)
                 other = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 low, high = np.minimum(own[row], other), np.maximum(own[row], other)
+                unit_of = np.where(count > 1, -1 - bucket, (np.int64(table) << 32) + signatures[:, table] % units)
                 taken = batch.select(["right", "id", "vec"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[row]), pa.array(low), pa.array(high), pa.array(own[row]), *taken.columns],
-                    ["bucket", "low", "high", "part", "right", "id", "vec"],
+                    [*(pa.array(c) for c in (unit_of[row], bucket[row], low, high, own[row])), *taken.columns],
+                    ["unit", "bucket", "low", "high", "part", "right", "id", "vec"],
                 )
 
-    shape = f"bucket bigint, low bigint, high bigint, part bigint, right boolean, id {kind}, vec array<float>"
+    shape = "unit bigint, bucket bigint, low bigint, high bigint, part bigint, right boolean"
+    shape += f", id {kind}, vec array<float>"
     return rows.mapInArrow(emit, shape)
 
 
 def _sizes(rows: DataFrame, planes: Planes) -> DataFrame:
+    in_array = planes.tables << planes.bits <= COUNTED
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((planes.tables << planes.bits) * in_array, dtype=np.int64)
         for batch in with_vectors(batches):
             signatures = planes.signatures(unit(matrix(batch.column("vec"))))
+            if in_array:
+                flat = signatures + (np.arange(planes.tables, dtype=np.int64) << planes.bits)
+                found, n = np.unique(flat, return_counts=True)
+                seen[found] += n
+                continue
             buckets = signatures + (np.arange(planes.tables, dtype=np.int64) << 32)
             found, n = np.unique(buckets, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["bucket", "n"])
+        met = np.flatnonzero(seen)
+        buckets = (met >> planes.bits << 32) + (met & ((1 << planes.bits) - 1))
+        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(seen[met])], ["bucket", "n"])
 
     counted = rows.mapInArrow(count, "bucket bigint, n bigint")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
+def _first(planes: Planes, vectors: np.ndarray, i: np.ndarray, j: np.ndarray, table: int) -> np.ndarray:
+    """Which of the pairs agree in no table before this one."""
+    at, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    before = planes.signatures(unit(vectors[at]), table)
+    new = np.empty(len(i), dtype=bool)
+    for low in range(0, len(i), _PAIRS):
+        some = slice(low, low + _PAIRS)
+        new[some] = (before[place[: len(i)][some]] != before[place[len(i) :][some]]).all(axis=1)
+    return new
+
+
 def candidate_join(
     left: DataFrame,
     right: DataFrame | None = None,
@@ -132,7 +177,8 @@ def candidate_join(
         )
 
     rows = side(left, False) if right is None else side(left, False).unionByName(side(right, True))
-    planes = planes or Planes.of(threshold, recall, rows.count())
+    n_rows = rows.count()
+    planes = planes or Planes.of(threshold, recall, n_rows, IN_BUCKET)
     heavy = _sizes(rows, planes).where(F.col("n") > bucket_rows).collect()
     full = {r.bucket: math.ceil(r.n / bucket_rows) for r in heavy}
     itself = right is None
@@ -140,7 +186,9 @@ def candidate_join(
 
     def compare(rows_here: pa.Table) -> pa.Table:
         id_kind = rows_here.schema.field("id").type
-        table = rows_here["bucket"][0].as_py() >> 32
+        rows_here = rows_here.sort_by("bucket")
+        bucket = rows_here["bucket"].to_numpy()
+        table = int(bucket[0]) >> 32
         low, high = rows_here["low"][0].as_py(), rows_here["high"][0].as_py()
         part, of_right = rows_here["part"].to_numpy(), rows_here["right"].to_numpy()
         if itself:
@@ -149,29 +197,31 @@ def candidate_join(
             pairs = [((part == a) & ~of_right, (part == b) & of_right) for a, b in {(low, high), (high, low)}]
         ids = rows_here["id"].to_numpy()
         vectors = matrix(rows_here["vec"]).astype(np.float32)
-        signatures = planes.signatures(unit(vectors))[:, : table + 1]
         axis = np.zeros(vectors.shape[1], dtype=np.float32)
+        borders = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
         found: list[tuple] = []
-        for mine, theirs in pairs:
-            at = np.flatnonzero(mine), np.flatnonzero(theirs)
-            if not len(at[0]) or not len(at[1]):
-                continue
-            sides = [Block(k, None, vectors[a], axis, math.pi) for k, a in enumerate(at)]
-            for i, j, similarity in hits(*sides, threshold):
-                i, j = at[0][i], at[1][j]
-                first = (signatures[i, :table] != signatures[j, :table]).all(axis=1)
-                if itself:
-                    first &= (ids[i] < ids[j]) if low == high else (ids[i] != ids[j])
-                a, b = ids[i[first]], ids[j[first]]
-                if itself:
-                    a, b = np.where(a < b, a, b), np.where(a < b, b, a)
-                found.append((a, b, similarity[first]))
+        for start, end in zip(borders, borders[1:]):
+            for mine, theirs in pairs:
+                at = np.flatnonzero(mine[start:end]) + start, np.flatnonzero(theirs[start:end]) + start
+                if not len(at[0]) or not len(at[1]):
+                    continue
+                sides = [Block(k, None, vectors[a], axis, math.pi) for k, a in enumerate(at)]
+                for i, j, similarity in hits(*sides, threshold):
+                    i, j = at[0][i], at[1][j]
+                    if itself:
+                        once = (ids[i] < ids[j]) if low == high else (ids[i] != ids[j])
+                        i, j, similarity = i[once], j[once], similarity[once]
+                    first = _first(planes, vectors, i, j, table)
+                    a, b = ids[i[first]], ids[j[first]]
+                    if itself:
+                        a, b = np.where(a < b, a, b), np.where(a < b, b, a)
+                    found.append((a, b, similarity[first]))
         columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
         kinds = (id_kind, id_kind, pa.float64())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id_a", "id_b", "similarity"])
 
     return (
-        _buckets(rows, planes, full)
-        .groupBy("bucket", "low", "high")
+        _buckets(rows, planes, full, n_rows)
+        .groupBy("unit", "low", "high")
         .applyInArrow(compare, f"id_a {kind}, id_b {kind}, similarity double")
     )
