@@ -206,6 +206,17 @@ def test_search_by_cells_on_odd_inputs(vectors):
     assert nearest.cell_knn(asked.limit(0), few, 3).count() == 0
 
 
+def test_angles_are_held_for_a_few_rows_at_a_time(monkeypatch):
+    units = block_pairs.unit(clustered(23, 400)).astype(np.float32)
+    places = block_pairs._Places(units[:50])
+    whole = places.keys(units)
+    monkeypatch.setattr(block_pairs, "ANGLES", 350)
+    assert block_pairs.rows_at_once(50) == 7 and block_pairs.rows_at_once(10**6) == 1
+    assert (places.keys(units) == whole).all()
+    batch = pa.record_batch({"vec": [[1.0], None, [2.0], [3.0], [4.0]]})
+    assert [b.num_rows for b in block_pairs.with_vectors([batch], 3)] == [3, 1]
+
+
 @pytest.mark.parametrize("layout", [{}, {"block_rows": 30}])
 def test_what_a_pair_of_blocks_gives_goes_out_in_pieces(vectors, layout):
     packed = stored(vectors(clustered(18, 90)), **layout)
