@@ -7,6 +7,7 @@ import hashlib
 import random
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -671,3 +672,15 @@ def language_id_free(df):
     from tidemark.llm.shared import cut
 
     return cut(df, "test-stage")
+
+
+def test_ngrams_are_made_of_little_text_at_a_time(monkeypatch):
+    made, sets = [], ngram_join.shingle_sets
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda c, n: made.append((len(c), sum(map(len, c.to_pylist())))) or sets(c, n))
+    rows = SimpleNamespace(mapInArrow=lambda run, schema: run)
+    texts = [f"{k} " * 300_000 for k in range(8)]
+    batch = pa.record_batch({"doc_id": list(range(8)), "text": texts})
+    held = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    for run in (ngram_join.members_of(rows, 5, 0), ngram_join.prefixes(rows, 5, 80, 0, held)):
+        assert sum(out.num_rows for out in run(iter([batch]))) >= 8
+    assert sum(n for n, _ in made) == 16 and max(size for _, size in made) <= 2 << 20

@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import PrefixHash, cut, map_batches, mix, text_or_empty
+from tidemark.llm.shared import PrefixHash, cut, map_batches, mix, split_batch, text_or_empty
 
 WORDS, PERCENT = 5, 80
 #: An n-gram is counted as frequent where this many texts of a task have it; the longest list kept.
 FREQUENT, MAX_FREQUENT = 4, 1 << 18
 #: Ranges of hashes for the suffix filter, and the share of n-grams that a prefix is longer by.
 RANGES, LONGER = 256, 10
+#: Bytes of text whose n-grams are made at a time: the arrays for it take some thirty-five times as much.
+TEXT_BYTES = 2 << 20
 #: Rounds of comparing with the first set of an n-gram before all open pairs are compared.
 STARS = 3
 
@@ -120,14 +122,16 @@ def members_of(rows: DataFrame, words: int, seed: int) -> DataFrame:
             names=["doc_id", "size", "key", "node"],
         )
 
-    return map_batches(rows, work, "doc_id bigint, size bigint, key binary, node bigint")
+    shape = "doc_id bigint, size bigint, key binary, node bigint"
+    return map_batches(rows, work, shape, batch_bytes=TEXT_BYTES)
 
 
 def frequent_grams(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes met in several texts of one task, with their summed counts: at most MAX_FREQUENT."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column(1), words)
+        parts = split_batch(batch, "text", TEXT_BYTES)
+        sets = [s for part in parts for s in shingle_sets(part.column(1), words)]
         found, counts = np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]), return_counts=True)
         often = counts >= FREQUENT
         return pa.RecordBatch.from_arrays(
@@ -155,12 +159,10 @@ def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held) -> Data
     have comes several times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tidemark.llm.shared import split_batch
-
         grams, counts = held.value
         seen: set[int] = set()
         for whole in batches:
-            for batch in split_batch(whole, "text", 8 << 20):
+            for batch in split_batch(whole, "text", TEXT_BYTES):
                 out, nodes, sizes, lengths = [], [], [], []
                 for found in shingle_sets(batch.column(1), words):
                     if not len(found):
@@ -204,7 +206,7 @@ def texts_of(rows: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFr
             names=["node", "text", "ranges"],
         )
 
-    texts = map_batches(rows, name, "node bigint, text string, ranges binary")
+    texts = map_batches(rows, name, "node bigint, text string, ranges binary", batch_bytes=TEXT_BYTES)
     return texts.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -239,7 +241,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return map_batches(
-        both.select("a", "b", "text_a", "text_b"), check, "a bigint, b bigint", text="text_a", batch_bytes=4 << 20
+        both.select("a", "b", "text_a", "text_b"), check, "a bigint, b bigint", text="text_a", batch_bytes=TEXT_BYTES
     )
 
 
