@@ -158,6 +158,35 @@ def test_join_edges(edges, empty):
     assert ngram_join.join_components(empty).count() == 0
 
 
+def test_sets_of_a_crowded_ngram_meet_in_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    docs = []
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.randint(2, 6)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 40)}"
+        docs.append((len(docs), " ".join(copy)))
+    expected = brute_components(docs)
+    compared, check = [], ngram_join.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return check(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in ngram_join.join_components(df).collect()) == expected
+    sets = [s for s in ngram_join.shingle_sets(pa.array([t for _, t in docs]))]
+    links = sum(
+        100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for k, a in enumerate(sets) for b in sets[:k]
+    )
+    assert len({c for _, _, c in expected}) > 50 and compared[-1] <= 3 * links
+    monkeypatch.setattr(ngram_join, "CROWDED", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    assert sorted(tuple(r) for r in ngram_join.join_components(df).collect()) == expected
+
+
 # -- 3 and 5 ---------------------------------------------------------------------------------
 
 

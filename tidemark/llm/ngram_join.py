@@ -11,8 +11,11 @@ The result is the components, so links inside a component already known need no
 longer than needed to share one n-gram, so that a pair has to share several. Round one compares
 every set with one partner per shared n-gram, the next smaller set that has it; the next rounds
 compare the sets of an n-gram that are in other components than its first one with that one. Both
-are linear in a group of near copies. The last round compares all pairs that share enough prefix
-n-grams and are still in different components, so the components are those of all links.
+are linear in a group of near copies. The last round takes all pairs that share a prefix n-gram and are
+still in different components, so the components are those of all links. An n-gram that few sets have
+joins their rows, and a pair is made at the first n-gram of a run that both have in a row. Where many
+sets have one, their rows meet in blocks of bounded size with their counts in ranges, and only pairs that
+the suffix filter leaves become rows.
 
 Which n-grams are frequent is an ordering hint only: a list of bounded length is broadcast, and any
 list gives the same result. Hashes have 64 bits within a pair; classes are told apart by 128 bits.
@@ -42,8 +45,13 @@ FREQUENT, MAX_FREQUENT = 4, 1 << 18
 RANGES, LONGER = 256, 10
 #: Bytes of text whose n-grams are made at a time: the arrays for it take some thirty-five times as much.
 TEXT_BYTES = 2 << 20
-#: Rounds of comparing with the first set of an n-gram before all open pairs are compared.
-STARS = 3
+#: Rounds of comparing with the first set of an n-gram before all open pairs are compared; another one
+#: follows only while the last found more than one link for FEWER of the first round.
+STARS, FEWER = 3, 100
+#: Rows of an n-gram from which they meet in blocks, and rows of such a block.
+CROWDED, BLOCK = 32, 1024
+#: Bits of the broadcast marks of the classes whose texts are wanted.
+MARKS = 1 << 24
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, *range(0x09, 0x0E)]] = 1
@@ -190,26 +198,49 @@ def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held) -> Data
     return rows.mapInArrow(run, "gram bigint, node bigint, size int, pos int")
 
 
+def marks_of(nodes: DataFrame) -> np.ndarray:
+    """MARKS bits, those at the low ends of the given numbers set: at most MARKS / 64 rows are gathered."""
+    spot = F.col("node").bitwiseAND(F.lit(MARKS - 1))
+    bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
+    marked = nodes.select(F.shiftright(spot, 6).alias("word"), bit.alias("bit"))
+    words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(MARKS // 64, dtype=np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def texts_of(rows: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
     """node, text, ranges (counts of the set's hashes in equal ranges) of the wanted classes. Texts
-    take half the room of their sets, so texts move and sets are made where they are needed."""
+    take half the room of their sets, so texts move and sets are made where they are needed. Most
+    texts that are not wanted have no mark and do not move."""
+    held = rows.sparkSession.sparkContext.broadcast(marks_of(nodes))
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(1), words)
+        numbers = np.array([_keys(s, seed)[1] for s in sets], dtype=np.int64)
+        low = numbers.view(np.uint64) & np.uint64(MARKS - 1)
+        at = np.flatnonzero((held.value[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1))
         ranges = [
-            np.minimum(0xFFFF, np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES)).astype(np.uint16).tobytes()
-            for s in sets
+            np.minimum(0xFFFF, np.bincount((sets[i] >> np.uint64(56)).astype(np.int64), minlength=RANGES)).astype(np.uint16).tobytes()
+            for i in at.tolist()
         ]
         return pa.RecordBatch.from_arrays(
-            [pa.array([_keys(s, seed)[1] for s in sets], pa.int64()), batch.column(1),
-             pa.array(ranges, pa.binary())],
+            [pa.array(numbers[at]), batch.column(1).take(pa.array(at)), pa.array(ranges, pa.binary())],
             names=["node", "text", "ranges"],
-        )
+        )
 
     texts = map_batches(rows, name, "node bigint, text string, ranges binary", batch_bytes=TEXT_BYTES)
     return texts.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _may_reach(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of counts whose sets may reach the threshold: the suffix filter."""
+    # counts are cut at 16 bits: such a range bounds nothing and counts in full
+    shared = np.where((x == 0xFFFF) | (y == 0xFFFF), 1 << 40, np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+    both = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
+    return shared * (100 + percent) >= percent * both
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that reach the threshold. The suffix filter comes first, on the
     small counts; only pairs that it leaves fetch their texts."""
@@ -223,15 +254,13 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             x, y = (
                 np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, RANGES) for i in (2, 3)
             )
-            # counts are cut at 16 bits: such a range bounds nothing and counts in full
-            shared = np.where((x == 0xFFFF) | (y == 0xFFFF), 1 << 40, np.minimum(x, y)).sum(axis=1, dtype=np.int64)
-            both = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
-            keep = shared * (100 + percent) >= percent * both
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            yield batch.select([0, 1]).filter(pa.array(_may_reach(x, y, percent)))
 
     likely = cut(counted.select("a", "b", "ranges_a", "ranges_b").mapInArrow(suffixes, "a bigint, b bigint"), "pairs")
     whole = texts.select("node", "text")
-    both = likely.join(whole.toDF("b", "text_b"), "b").join(whole.toDF("a", "text_a"), "a")
+    # only the texts of such pairs move
+    first, second = (whole.toDF(s, f"text_{s}").join(likely.select(s).distinct(), s, "left_semi") for s in "ab")
+    both = likely.join(second, "b").join(first, "a")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -245,6 +274,57 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def crowded_pairs(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """a, size_a, pos_a, b, size_b, pos_b of the pairs that share an n-gram which many have, and that the
+    filters leave; ``rows`` are (gram, node, size, pos, label, prev, plain, n). The n rows of an n-gram are
+    dealt to blocks; each pair of blocks is a group."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(float(BLOCK)))).cast("int")
+    dealt = (
+        rows.join(texts.select("node", "ranges"), "node")
+        .withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .select("gram", "i", "j", "block", "node", "size", "pos", "label", "prev", "plain", "ranges")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, size, pos, label, block = (
+            group[c].to_numpy().astype(np.int64) for c in ("node", "size", "pos", "label", "block")
+        )
+        plain = group["plain"].to_numpy(zero_copy_only=False).astype(bool)
+        begun = group["prev"].is_null().to_numpy()
+        prev = group["prev"].fill_null(0).to_numpy()
+        counts = np.frombuffer(b"".join(group["ranges"].to_pylist()), np.uint16).reshape(-1, RANGES)
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = []
+        step = max((1 << 18) // max(len(right), 1), 1)
+        for start in range(0, len(left), step):
+            x, y = left[start : start + step, None], right[None, :]
+            keep = (label[x] != label[y]) & (begun[x] | begun[y] | (prev[x] != prev[y]))
+            if i == j:
+                keep &= x < y
+            x_larger = (size[x] > size[y]) | ((size[x] == size[y]) & (node[x] > node[y]))
+            keep &= np.where(x_larger, plain[y], plain[x])
+            keep &= np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * percent
+            need = np.ceil((size[x] + size[y]) * percent / (100.0 + percent) - 1e-9)
+            keep &= np.minimum(pos[x], pos[y]) + np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need
+            at_x, at_y = np.nonzero(keep)
+            at_x, at_y = left[start + at_x], right[at_y]
+            for low in range(0, len(at_x), 1 << 13):
+                u, v = at_x[low : low + (1 << 13)], at_y[low : low + (1 << 13)]
+                good = _may_reach(counts[u], counts[v], percent)
+                larger = (size[u] > size[v]) | ((size[u] == size[v]) & (node[u] > node[v]))
+                found.append(np.stack([np.where(larger, u, v)[good], np.where(larger, v, u)[good]]))
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        return pa.table({"a": node[a], "size_a": size[a].astype(np.int32), "pos_a": pos[a].astype(np.int32),
+                         "b": node[b], "size_b": size[b].astype(np.int32), "pos_b": pos[b].astype(np.int32)})
+
+    shape = "a bigint, size_a int, pos_a int, b bigint, size_b int, pos_b int"
+    return dealt.groupBy("gram", "i", "j").applyInArrow(compare, shape)
+
+
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """node, label for all nodes of the links (a, b); equal labels are one component. ``known`` are
     the labels of earlier links, which go on to hold.
@@ -329,7 +409,9 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "first",
     )
     tested = first
-    labels = components(cut(verified(first, texts, words, percent), "links"))
+    linked = cut(verified(first, texts, words, percent), "links")
+    few = linked.count() // FEWER
+    labels = components(linked)
 
     def labelled() -> DataFrame:
         """The rows of n-grams whose sets are still in different components."""
@@ -350,23 +432,42 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         )
         star = cut(star.join(tested, ["a", "b"], "left_anti"), "star")
         found = cut(verified(star, texts, words, percent), "links")
-        if found.isEmpty():
+        n_found = found.count()
+        tested = tested.unionByName(star)
+        if n_found:
+            labels = components(found, labels)
+        if n_found <= few:
             break
-        tested, labels = tested.unionByName(star), components(found, labels)
-    open_grams = cut(labelled().drop("low").select("gram", "node", "size", "pos", "label"), "open")
     # the larger set of a pair comes with its plain prefix, the smaller one with a shorter prefix;
-    # both hold the first n-gram that the pair shares
-    larger = open_grams.where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * near))
-    smaller = open_grams.where(F.col("pos") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent))
+    # both hold the first n-gram that the pair shares. Where both have the same one before, it is not that
+    open_grams = (
+        labelled().select("gram", "node", "size", "pos", "label")
+        .where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * near))
+        .withColumn("plain", F.col("pos") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent))
+        .withColumn("n", F.count("*").over(by_gram))
+        .where("n > 1")
+        .withColumn("prev", F.lag("gram").over(Window.partitionBy("node").orderBy("pos")))
+    )
+    open_grams = cut(open_grams.select("gram", "node", "size", "pos", "label", "prev", "plain", "n"), "open")
+    thin = open_grams.where(F.col("n") < CROWDED)
     places = [F.col(c) for c in ("size_a", "pos_a", "size_b", "pos_b")]
-    last = (
-        larger.toDF("gram", "a", "size_a", "pos_a", "label_a")
-        .join(smaller.toDF("gram", "b", "size_b", "pos_b", "label_b"), "gram")
+    joined = (
+        thin.select("gram", "node", "size", "pos", "label", "prev").toDF("gram", "a", "size_a", "pos_a", "label_a", "prev_a")
+        .join(
+            thin.where("plain").select("gram", "node", "size", "pos", "label", "prev")
+            .toDF("gram", "b", "size_b", "pos_b", "label_b", "prev_b"),
+            "gram",
+        )
         .where(
             (F.col("label_a") != F.col("label_b"))
+            & (F.col("prev_a").isNull() | F.col("prev_b").isNull() | (F.col("prev_a") != F.col("prev_b")))
             & ((F.col("size_a") > F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") > F.col("b"))))
         )
         .where(possible(*places, F.least("pos_a", "pos_b")))
+        .select("a", "size_a", "pos_a", "b", "size_b", "pos_b")
+    )
+    last = (
+        joined.unionByName(crowded_pairs(open_grams.where(F.col("n") >= CROWDED), texts, percent))
         .groupBy("a", "b", "size_a", "size_b").agg(F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"))
         .where(possible(*places, F.lit(0)))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
