@@ -713,3 +713,62 @@ def test_ngrams_are_made_of_little_text_at_a_time(monkeypatch):
     for run in (ngram_join.members_of(rows, 5, 0), ngram_join.prefixes(rows, 5, 80, 0, held)):
         assert sum(out.num_rows for out in run(iter([batch]))) >= 8
     assert sum(n for n, _ in made) == 16 and max(size for _, size in made) <= 2 << 20
+
+
+def near_copies(seed: int, families: int, most: int) -> list[tuple[int, str]]:
+    rng = random.Random(seed)
+    docs = []
+    for f in range(families):
+        words = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(30, 90))]
+        for _ in range(rng.randint(1, most)):
+            copy = list(words)
+            for _ in range(rng.randint(0, 5)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 9)}"
+            docs.append((len(docs), " ".join(copy)))
+    return docs
+
+
+def test_prefix_rows_move_packed(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PACKED", 3000)
+    docs = near_copies(11, 60, 12)
+    docs += [(1000 + d, t) for d, t in docs[::3]]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    held = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    rows = [tuple(r) for r in ngram_join.prefixes(df, 5, 80, 0, held).collect()]
+    packs = ngram_join.prefixes(df, 5, 80, 0, held, 4)
+    blobs = [r.rows for r in packs.collect()]
+    table = ngram_join.unpacked(blobs)
+    assert sorted(zip(table["gram"].view(np.int64).tolist(), *(table[c].tolist() for c in ("node", "size", "pos")))) == sorted(rows)
+    # a row for each range and some thousand n-grams, not one for each n-gram
+    assert len(blobs) <= 16 * (len(rows) // 3000 + 3) < len(rows) / 50
+    by_gram = {}
+    for gram, node, size, pos in set(rows):
+        by_gram.setdefault(gram, []).append((size, node, pos))
+    expected = []
+    for gram, sets in by_gram.items():
+        sets.sort()
+        reach = [x[0] >= y[0] * (0.8 - 1e-9) for x, y in zip(sets, sets[1:])]
+        for k, (size, node, pos) in enumerate(sets):
+            below = k > 0 and reach[k - 1]
+            if below or (k < len(reach) and reach[k]):
+                expected.append((gram, node, size, pos, sets[k - 1] if below else None))
+    found = [(*r[:4], r.before and tuple(r.before)) for r in ngram_join.with_neighbours(packs, 80).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr) and any(r[4] is None for r in found)
+
+
+def test_ngrams_within_one_component_move_no_more(spark, monkeypatch):
+    written, keep = {}, ngram_join.cut
+
+    def counted(frame, what="table"):
+        out = keep(frame, what)
+        written.setdefault(what, []).append(out)
+        return out
+
+    monkeypatch.setattr(ngram_join, "cut", counted)
+    monkeypatch.setattr(ngram_join, "FEWER", 1 << 30)
+    docs = near_copies(12, 12, 25)
+    found = ngram_join.join_components(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert sorted(tuple(r) for r in found.collect()) == brute_components(docs)
+    rounds = [{(r.gram, r.node) for r in t.collect()} for t in written["unsettled"]]
+    assert len(rounds) > 1 and all(later <= earlier for earlier, later in zip(rounds, rounds[1:]))
+    assert len(rounds[0]) < written["prefixes"][0].count() / 2

@@ -11,12 +11,17 @@ The result is the components, so links inside a component already known need no
 longer than needed to share one n-gram, so that a pair has to share several. Round one compares
 every set with one partner per shared n-gram, the next smaller set that has it; the next rounds
 compare the sets of an n-gram that are in other components than its first one with that one. Both
-are linear in a group of near copies. The last round takes all pairs that share a prefix n-gram and are
+are linear in a group of near copies, and an n-gram whose sets are in one component is left out from then on.
+The last round takes all pairs that share a prefix n-gram and are
 still in different components, so the components are those of all links. An n-gram that few sets have
 joins their rows, and a pair is made at the first n-gram of a run that both have in a row. Where many
 sets have one, their rows meet in blocks of bounded size with their counts in ranges, and only pairs that
 the suffix filter leaves become rows.
 
+Most prefix n-grams are in one set only. They have to move to be found single, and take most of the room
+that the job needs, so they move packed: a task sends one row for each range of n-grams and some hundred
+thousand of its rows, sorted and by byte planes. Rows of their own are made of what is left.
+
 Which n-grams are frequent is an ordering hint only: a list of bounded length is broadcast, and any
 list gives the same result. Hashes have 64 bits within a pair; classes are told apart by 128 bits.
 The 64-bit number that stands for a class is checked to be unique, and dealt anew if not.
@@ -52,6 +57,10 @@ STARS, FEWER = 3, 100
 CROWDED, BLOCK = 32, 1024
 #: Bits of the broadcast marks of the classes whose texts are wanted.
 MARKS = 1 << 24
+#: Rows of prefixes that a task packs at a time, and about as many that a range of n-grams has.
+PACKED, RANGE_ROWS = 1 << 18, 1 << 18
+#: One packed row.
+ROW = np.dtype([("gram", "<u8"), ("node", "<i8"), ("size", "<i4"), ("pos", "<i4")])
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, *range(0x09, 0x0E)]] = 1
@@ -162,9 +171,48 @@ def rare_first(found: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.n
     return found[np.lexsort((found, often))]
 
 
-def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held) -> DataFrame:
+def ranges_for(members: DataFrame, percent: int) -> int:
+    """Bits of a number of n-gram ranges: enough for all tasks, and for about RANGE_ROWS rows each."""
+    total = members.agg(F.sum("size")).first()[0] or 0
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(4 * parts, prefix_length(total, percent) // RANGE_ROWS)
+    return max(1, (wanted - 1).bit_length())
+
+
+def packed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows (gram, node, size, pos) as (part, rows): those of an n-gram range, sorted by n-gram, the first byte
+    of each ROW, then the second of each, and so on, as such planes compress."""
+
+    def pack(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = np.empty(sum(b.num_rows for b in some), dtype=ROW)
+        for k, name in enumerate(ROW.names):
+            table[name] = np.concatenate([b.column(k).to_numpy() for b in some]).astype(ROW[name], copy=False)
+        table = table[np.argsort(table["gram"])]
+        parts = (table["gram"] >> np.uint64(64 - bits)).astype(np.int32)
+        starts = np.flatnonzero(np.diff(parts, prepend=-1))
+        planes = table.view(np.uint8).reshape(-1, ROW.itemsize)
+        rows = [planes[a:b].T.tobytes() for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(table)])]
+        return pa.RecordBatch.from_arrays([pa.array(parts[starts]), pa.array(rows, pa.binary())], names=["part", "rows"])
+
+    some, n = [], 0
+    for batch in batches:
+        some.append(batch)
+        n += batch.num_rows
+        if n >= PACKED:
+            yield pack(some)
+            some, n = [], 0
+    if n:
+        yield pack(some)
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    planes = [np.frombuffer(r, dtype=np.uint8).reshape(ROW.itemsize, -1) for r in rows]
+    return np.ascontiguousarray(np.concatenate(planes, axis=1).T).view(ROW)[:, 0]
+
+
+def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held, bits: int | None = None) -> DataFrame:
     """gram, node, size, pos for the first n-grams of every class; a class that several tasks
-    have comes several times."""
+    have comes several times. With ``bits`` the rows are packed for as many ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = held.value
@@ -195,9 +243,38 @@ def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held) -> Data
                         names=["gram", "node", "size", "pos"],
                     )
 
+    if bits is not None:
+        return rows.mapInArrow(lambda batches: packed(run(batches), bits), "part int, rows binary")
     return rows.mapInArrow(run, "gram bigint, node bigint, size int, pos int")
 
 
+def with_neighbours(rows: DataFrame, percent: int) -> DataFrame:
+    """gram, node, size, pos, before of the packed rows, each class once, that have a neighbour (the next smaller
+    or larger set of the n-gram) of a size that can reach the threshold: other rows have no partner here.
+    ``before`` is the smaller one, if it can."""
+    near = percent / 100 - 1e-9
+
+    def work(group: pa.Table) -> pa.Table:
+        table = unpacked(group["rows"].to_pylist())
+        table = table[np.lexsort((table["node"], table["size"], table["gram"]))]
+        same = table["gram"][1:] == table["gram"][:-1]
+        table = table[np.append(True, ~(same & (table["node"][1:] == table["node"][:-1])))]
+        below = np.zeros(len(table) + 1, dtype=bool)
+        below[1:-1] = table["gram"][1:] == table["gram"][:-1]
+        below[1:-1] &= table["size"][:-1] >= table["size"][1:] * near
+        at = np.flatnonzero(below[:-1] | below[1:])
+        kept, smaller, without = table[at], table[at - 1], pa.array(~below[at])
+        before = pa.StructArray.from_arrays(
+            [pa.array(np.ascontiguousarray(smaller[c])) for c in ("size", "node", "pos")], names=["size", "node", "pos"], mask=without
+        )
+        columns = [pa.array(np.ascontiguousarray(kept["gram"]).view(np.int64))]
+        columns += [pa.array(np.ascontiguousarray(kept[c])) for c in ("node", "size", "pos")]
+        return pa.Table.from_arrays([*columns, before], names=["gram", "node", "size", "pos", "before"])
+
+    shape = "gram bigint, node bigint, size int, pos int, before struct<size: int, node: bigint, pos: int>"
+    return rows.groupBy("part").applyInArrow(work, shape)
+
+
 def marks_of(nodes: DataFrame) -> np.ndarray:
     """MARKS bits, those at the low ends of the given numbers set: at most MARKS / 64 rows are gathered."""
     spot = F.col("node").bitwiseAND(F.lit(MARKS - 1))
@@ -370,23 +447,12 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         seed += 1
     held = docs.sparkSession.sparkContext.broadcast(frequent_grams(rows, words))
     by_gram = Window.partitionBy("gram")
-    by_size = by_gram.orderBy("size", "node")
     near = F.lit(percent / 100 - 1e-9)
-    shared = cut(
-        prefixes(rows, words, percent, seed, held)
-        .withColumn("before", F.lag(F.struct("size", "node", "pos")).over(by_size))
-        .withColumn("after", F.lead("size").over(by_size))
-        # a row without a neighbour of a size that can reach the threshold has no partner here
-        .where((F.col("before.size") >= F.col("size") * near) | (F.col("size") >= F.col("after") * near))
-        .drop("after")
-        .withColumn("low", F.min("node").over(by_gram))
-        .withColumn("high", F.max("node").over(by_gram))
-        .where("low < high").drop("low", "high"),
-        "prefixes",
-    )
+    packs = prefixes(rows, words, percent, seed, held, ranges_for(members, percent))
+    shared = cut(with_neighbours(packs, percent), "prefixes")
     # fewer shared n-grams than two sets at the threshold have in common: no partner at all
     enough = cut(
-        shared.groupBy("node", "size").agg(F.count_distinct("gram").alias("n"))
+        shared.groupBy("node", "size").agg(F.count("*").alias("n"))
         .where(F.col("n") >= least_shared(F.col("size"))).select("node"),
         "enough",
     )
@@ -413,21 +479,27 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     few = linked.count() // FEWER
     labels = components(linked)
 
-    def labelled() -> DataFrame:
-        """The rows of n-grams whose sets are still in different components."""
-        rows = shared.drop("before").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        return (
-            rows.withColumn("low", F.min(F.struct("label", "size", "node", "pos")).over(by_gram))
-            .withColumn("high", F.max("label").over(by_gram))
-            .where(F.col("low.label") < F.col("high")).drop("high").distinct()
+    def still_open(rows: DataFrame) -> DataFrame:
+        """The rows of n-grams whose sets are still in different components. Labels only merge, so no other
+        n-gram opens later. low_... are the smallest (label, size, node, pos), ``n`` is the number of rows."""
+        named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        order = ["label", "size", "node", "pos"]
+        by_label = by_gram.orderBy(*order)
+        lowest = {f"low_{c}": F.first(c).over(by_label) for c in order}
+        return cut(
+            named.withColumns({**lowest, "high": F.max("label").over(by_gram), "n": F.count("*").over(by_gram)})
+            .where(F.col("low_label") < F.col("high")).drop("high"),
+            "unsettled",
         )
 
+    # a pair shares one of these; the n-grams that make prefixes longer are not needed any more
+    left = shared.select("gram", "node", "size", "pos").where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * near))
+    left = still_open(left)
     for _ in range(STARS):
-        head = F.col("low")
         star = (
-            labelled().where(F.col("label") != head["label"])
-            .where(possible(F.col("size"), F.col("pos"), head["size"], head["pos"], F.least("pos", head["pos"])))
-            .select(F.least("node", head["node"]).alias("a"), F.greatest("node", head["node"]).alias("b"))
+            left.where(F.col("label") != F.col("low_label"))
+            .where(possible(F.col("size"), F.col("pos"), F.col("low_size"), F.col("low_pos"), F.least("pos", "low_pos")))
+            .select(F.least("node", "low_node").alias("a"), F.greatest("node", "low_node").alias("b"))
             .distinct()
         )
         star = cut(star.join(tested, ["a", "b"], "left_anti"), "star")
@@ -436,19 +508,17 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         tested = tested.unionByName(star)
         if n_found:
             labels = components(found, labels)
+            left = still_open(left.select("gram", "node", "size", "pos"))
         if n_found <= few:
             break
     # the larger set of a pair comes with its plain prefix, the smaller one with a shorter prefix;
     # both hold the first n-gram that the pair shares. Where both have the same one before, it is not that
-    open_grams = (
-        labelled().select("gram", "node", "size", "pos", "label")
-        .where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * near))
+    open_grams = cut(
+        left.select("gram", "node", "size", "pos", "label", "n")
         .withColumn("plain", F.col("pos") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent))
-        .withColumn("n", F.count("*").over(by_gram))
-        .where("n > 1")
-        .withColumn("prev", F.lag("gram").over(Window.partitionBy("node").orderBy("pos")))
+        .withColumn("prev", F.lag("gram").over(Window.partitionBy("node").orderBy("pos"))),
+        "crowded",
     )
-    open_grams = cut(open_grams.select("gram", "node", "size", "pos", "label", "prev", "plain", "n"), "open")
     thin = open_grams.where(F.col("n") < CROWDED)
     places = [F.col(c) for c in ("size_a", "pos_a", "size_b", "pos_b")]
     joined = (
