@@ -34,7 +34,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest doc_id."""
     found = cut(ngram_join.join_components(docs), "groups")
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    # written first, so that their real size decides whether texts have to be shuffled to leave them out
+    copies = cut(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "copies")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -772,3 +772,20 @@ def test_ngrams_within_one_component_move_no_more(spark, monkeypatch):
     rounds = [{(r.gram, r.node) for r in t.collect()} for t in written["unsettled"]]
     assert len(rounds) > 1 and all(later <= earlier for earlier, later in zip(rounds, rounds[1:]))
     assert len(rounds[0]) < written["prefixes"][0].count() / 2
+
+
+def test_few_copies_leave_texts_in_place(spark):
+    import corpus_pipeline
+
+    rng = random.Random(13)
+    docs = [(d, " ".join(rng.choice("abcdefghij") for _ in range(12))) for d in range(900)] + [(900, "x y z"), (901, "x y z")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 2048)  # less than the table of all groups has, more than that of the copies
+    try:
+        left = corpus_pipeline.remove_near_duplicates(spark, df, "")
+        assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+        assert {r.doc_id for r in left.collect()} == {d for d, _, c in brute_components(docs) if d == c}
+    finally:
+        spark.conf.set(name, before)
