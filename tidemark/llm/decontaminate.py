@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.ngram_join import bytes_of
-from tidemark.llm.shared import split_batch, text_or_empty
+from tidemark.llm.shared import given_back, split_batch, text_or_empty
 
 SIZES = (12, 24, 48, 96)
 #: Most edits as a share of the item's length; steps sampled for a key; chance that a sampled step
@@ -121,6 +121,19 @@ class Walk:
         return keys
 
 
+def marks(keys: np.ndarray) -> np.ndarray:
+    """A bit for each value of the first 20 bits of a key, set where a key has it."""
+    seen = np.zeros(1 << 20, dtype=bool)
+    seen[keys >> np.uint64(44)] = True
+    return np.packbits(seen, bitorder="little")
+
+
+def marked(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Not zero where the bit of a key is set."""
+    at = (keys >> np.uint64(44)).astype(np.uint32)
+    return (seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+
+
 class Index:
     """Items of one block, with the keys of their windows by size class."""
 
@@ -146,9 +159,7 @@ class Index:
             tables = []
             for row in keys:
                 order = np.argsort(row, kind="stable")
-                seen = np.zeros(1 << 20, dtype=bool)
-                seen[row >> np.uint64(44)] = True
-                tables.append((row[order], of[order], offset[order], seen))
+                tables.append((row[order], of[order], offset[order], marks(row)))
             self.classes.append((size, walk, tables))
 
     def finds(self, data: np.ndarray, borders: np.ndarray) -> dict[tuple[int, int], int]:
@@ -164,7 +175,7 @@ class Index:
             for a in range(0, len(starts), WINDOWS_AT_ONCE):
                 part = starts[a : a + WINDOWS_AT_ONCE]
                 for keys, (have, of, offset, seen) in zip(walk.keys(padded, part), tables):
-                    maybe = np.flatnonzero(seen[keys >> np.uint64(44)])
+                    maybe = np.flatnonzero(marked(seen, keys))
                     if not len(maybe):
                         continue
                     lo = np.searchsorted(have, keys[maybe], "left")
@@ -232,7 +243,7 @@ def matches(
                             names=["doc_id", "item_id", "edits", "item_length"],
                         )
 
-        part = rows.mapInArrow(work, schema)
+        part = rows.mapInArrow(given_back(work), schema)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
@@ -254,5 +265,5 @@ def drop_contaminated(
                         keep[n] = False
                     yield batch.select(list(range(len(names)))).filter(pa.array(keep))
 
-        kept = kept.withColumn("__text", text_or_empty()).mapInArrow(clean, docs.schema)
+        kept = kept.withColumn("__text", text_or_empty()).mapInArrow(given_back(clean), docs.schema)
     return kept

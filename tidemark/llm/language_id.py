@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import BLANK, default_model, load
 from tidemark.llm.sentencepiece_codec import encoder
-from tidemark.llm.shared import map_batches, split_batch, text_or_empty
+from tidemark.llm.shared import given_back, map_batches, split_batch, text_or_empty
 
 UNKNOWN = "und"
 #: Labelled documents per language that are learned from, rounds of EM, and smoothing.
@@ -188,7 +188,7 @@ def learn(
             )
 
         found = (
-            counted.mapInArrow(expect, "lang int, piece int, expected double")
+            counted.mapInArrow(given_back(expect), "lang int, piece int, expected double")
             .groupBy("lang", "piece").agg(F.sum("expected").alias("expected")).toArrow()
         )
         sums = np.zeros((size + 1, len(langs)))
@@ -260,7 +260,7 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, model: str | N
                 )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(work, "doc_id bigint, lang_pred string, score double")
+    return rows.mapInArrow(given_back(work), "doc_id bigint, lang_pred string, score double")
 
 
 def op1(docs: DataFrame, model: str | None = None) -> DataFrame:
@@ -287,4 +287,4 @@ def keep_identified(docs: DataFrame, least: float = 0.5, model: str | None = Non
                 kept = [at is not None and score >= least for at, score in best]
                 yield batch.select(list(range(len(names)))).filter(pa.array(kept, pa.bool_()))
 
-    return tagged.mapInArrow(keep, docs.schema)
+    return tagged.mapInArrow(given_back(keep), docs.schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, text_or_empty
+from tidemark.llm.shared import cut, given_back, text_or_empty
 
 LEAST_CHARS = 20
 
@@ -243,7 +243,7 @@ def orders_of(classes: DataFrame) -> DataFrame:
             )
 
     return (
-        both.mapInArrow(reduce, "key binary, least_id bigint, tokens array<bigint>, places array<int>")
+        both.mapInArrow(given_back(reduce), "key binary, least_id bigint, tokens array<bigint>, places array<int>")
         .where(F.size("tokens") > 0)
         .withColumn("order", F.unhex(F.md5(F.array_join(F.col("tokens").cast("array<string>"), ",").cast("binary"))))
     )
@@ -263,7 +263,7 @@ def ranked_units(orders: DataFrame) -> DataFrame:
                 )
 
     held = orders.select("order", "place", "tokens").mapInArrow(
-        cover, "unit bigint, order binary, place struct<least_id:bigint,key:binary>"
+        given_back(cover), "unit bigint, order binary, place struct<least_id:bigint,key:binary>"
     )
     # sorted over all tasks and counted by task: a unit with very many holders is spread
     row = cut(
@@ -320,7 +320,7 @@ def deleted_tokens(orders: DataFrame) -> DataFrame:
         later = ranked.where(F.col("rank") > low)
         if low:
             left = known.join(done, "order", "left").select("order", "tokens", "gone")
-            later = later.join(left.mapInArrow(_open, "unit bigint, order binary"), ["unit", "order"])
+            later = later.join(left.mapInArrow(given_back(_open), "unit bigint, order binary"), ["unit", "order"])
         reach = F.sequence(F.lit(low).cast("bigint"), F.least(F.col("rank"), F.lit(high).cast("bigint")) - 1)
         wanted = later.select("unit", F.col("order").alias("b"), F.explode(reach).alias("rank"))
         pairs = cut(
@@ -332,7 +332,7 @@ def deleted_tokens(orders: DataFrame) -> DataFrame:
             pairs.join(known.toDF("b", "tokens_b"), "b").join(known.toDF("a", "tokens_a"), "a")
             .select("b", "tokens_a", "tokens_b")
         )
-        found = both.mapInArrow(_align, "order binary, gone array<int>").unionByName(done)
+        found = both.mapInArrow(given_back(_align), "order binary, gone array<int>").unionByName(done)
         done = cut(
             found.select("order", F.explode("gone").alias("at")).groupBy("order")
             .agg(F.collect_set("at").alias("gone")),
@@ -422,7 +422,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}"
         for f in wanted.schema.fields[: len(names)]
     )
-    return wanted.mapInArrow(edit, f"{fields}, n_lines bigint, n_removed bigint")
+    return wanted.mapInArrow(given_back(edit), f"{fields}, n_lines bigint, n_removed bigint")
 
 
 def op8(docs: DataFrame) -> DataFrame:

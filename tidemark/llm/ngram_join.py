@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import PrefixHash, cut, map_batches, mix, split_batch, text_or_empty
+from tidemark.llm.shared import PrefixHash, cut, given_back, map_batches, mix, split_batch, text_or_empty
 
 WORDS, PERCENT = 5, 80
 #: An n-gram is counted as frequent where this many texts of a task have it; the longest list kept.
@@ -244,8 +244,8 @@ def prefixes(rows: DataFrame, words: int, percent: int, seed: int, held, bits: i
                     )
 
     if bits is not None:
-        return rows.mapInArrow(lambda batches: packed(run(batches), bits), "part int, rows binary")
-    return rows.mapInArrow(run, "gram bigint, node bigint, size int, pos int")
+        return rows.mapInArrow(given_back(lambda batches: packed(run(batches), bits)), "part int, rows binary")
+    return rows.mapInArrow(given_back(run), "gram bigint, node bigint, size int, pos int")
 
 
 def with_neighbours(rows: DataFrame, percent: int) -> DataFrame:
@@ -333,7 +333,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             )
             yield batch.select([0, 1]).filter(pa.array(_may_reach(x, y, percent)))
 
-    likely = cut(counted.select("a", "b", "ranges_a", "ranges_b").mapInArrow(suffixes, "a bigint, b bigint"), "pairs")
+    likely = cut(counted.select("a", "b", "ranges_a", "ranges_b").mapInArrow(given_back(suffixes), "a bigint, b bigint"), "pairs")
     whole = texts.select("node", "text")
     # only the texts of such pairs move
     first, second = (whole.toDF(s, f"text_{s}").join(likely.select(s).distinct(), s, "left_semi") for s in "ab")

@@ -79,12 +79,14 @@ class Encoder:
         self.uses = np.ones(len(kept), dtype=np.int64)
 
     def _pack(self, codes: np.ndarray) -> list[np.ndarray]:
-        wide = codes.astype(np.uint64)
-        return [
-            (wide[:, k] << np.uint64(48)) | (wide[:, k + 1] << np.uint64(32))
-            | (wide[:, k + 2] << np.uint64(16)) | wide[:, k + 3]
-            for k in range(0, self.width, 4)
-        ]
+        packed = []
+        for k in range(0, self.width, 4):
+            wide = np.zeros(len(codes), dtype=np.uint64)
+            for at in range(k, k + 4):
+                wide <<= np.uint64(16)
+                wide |= codes[:, at]
+            packed.append(wide)
+        return packed
 
     def fits(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """``Pieces.fits`` for arrays, through a table of the pairs met so far."""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,27 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    """The C library's call that returns free memory to the system; not every one has it."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda pad: 0
+
+
+def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task, after which the memory that it freed goes back to the system. Workers wait for
+    tasks of other stages, and the allocators would keep the peak of each for as long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return run
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
     text: str = "text", batch_bytes: int = 8 << 20, done: Callable[[], None] | None = None,
@@ -59,7 +82,7 @@ def map_batches(
         if done is not None:
             done()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(given_back(run), schema)
 
 
 def split_batch(batch: pa.RecordBatch, text: str, batch_bytes: int) -> Iterator[pa.RecordBatch]:
