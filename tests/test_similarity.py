@@ -236,6 +236,46 @@ def test_pairs_bring_the_columns_asked_for(vectors):
     assert len(got) > 100 and all((r.names_a, r.names_b) == ([r.id_a], [r.id_b]) for r in got)
 
 
+def test_few_pairs_of_blocks_are_dealt_to_all_cores():
+    together, tasks = block_pairs.dealing(136, 6)
+    assert 136 / together >= 6 * 6 and tasks >= 136 / together
+    assert block_pairs.dealing(10**6, 6) == (block_pairs.PARTNERS, block_pairs.MAX_TASKS)
+    assert block_pairs.dealing(0, 6)[1] == 1
+
+
+def test_a_small_table_is_cut_into_several_blocks(vectors, monkeypatch):
+    monkeypatch.setattr(block_pairs, "SINGLE_ROWS", 100)
+    monkeypatch.setattr(block_pairs, "LEAST_ROWS", 10)
+    assert stored(vectors(clustered(26, 320))).blocks >= block_pairs.LEAST_BLOCKS
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.0])
+def test_products_are_held_for_a_few_rows_at_a_time(monkeypatch, threshold):
+    monkeypatch.setattr(similarity, "_CELLS", 2000)
+    rows = clustered(27, 300)
+    sides = [block_pairs.Block(k, None, m, rows[0], np.pi) for k, m in enumerate((rows, rows[:200]))]
+    given = list(similarity.hits(*sides, threshold))
+    assert len(given) == 30 and max(len(i) for i, _, _ in given) <= 2000
+    found = {(i, j): s for part in given for i, j, s in zip(*(x.tolist() for x in part))}
+    sims = cosine(*(s.vectors for s in sides))
+    assert set(found) == set(zip(*(x.tolist() for x in np.nonzero(sims >= threshold)))) and len(found) > 2000
+    assert all(abs(s - sims[pair]) < 1e-9 for pair, s in found.items())
+
+
+def test_rows_of_a_piece_leave_the_task_once():
+    rows = pa.table({"id": ["a", "b", "c", "d"], "names": [["x"], [], ["z"], None]})
+    out = similarity._listed(rows, np.array([3, 1, 3]), np.array([1, 0, 0]), np.array([0.5, 0.25, 1.0]))
+    assert out.to_pylist() == [
+        {
+            "id": ["a", "b", "d"],
+            "names": [["x"], [], None],
+            "place_a": [2, 1, 2],
+            "place_b": [1, 0, 0],
+            "similarity": [0.5, 0.25, 1.0],
+        }
+    ]
+
+
 # -- candidates by random planes -------------------------------------------------------------
 
 
